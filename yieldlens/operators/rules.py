@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from yieldlens.operators import columns as co, ordered, statistics as st, values as va
+from yieldlens.session import cut_lineage
 
 # Default thresholds and the class labels.
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT, MAX_LENGTH = 0.5, 0.5, 1.000001, 3
@@ -138,8 +139,6 @@ def item_counts(
 
     table = counted(pruned, range(1, min(max_length, 2) + 1), None, None)
     if max_length > 2:
-        from yieldlens.session import cut_lineage
-
         table = cut_lineage(table)
         rows = table.where("size = 2").select("ids").distinct().limit(max_pair_literals + 1).collect()
         pairs = {r.ids[0] * width + r.ids[1] for r in rows} if len(rows) <= max_pair_literals else None
@@ -211,6 +210,8 @@ def association_rules(
     ``zero_match="substring"`` also treats values that merely start with 0 so; None keeps all.
     """
     counts = item_counts(df, item_columns, y, min_support, max_length, negative, positive, **options)
+    # the small count table is read three times below: as rules, as bases and as additions
+    counts = replace(counts, table=cut_lineage(counts.table))
     sets = _per_class(counts, min_support)
     if zero_match == "exact":
         zero = [i for i, (_, v) in enumerate(counts.items) if v == "0"]
