@@ -15,7 +15,8 @@ CATEGORICAL, CONTINUOUS = "categorical", "continuous"
 
 
 def _first_lines(spark: SparkSession, path: str, n: int) -> list[list[str]]:
-    lines = [r.value for r in spark.read.text(path).take(n)]
+    first = sorted(spark.read.text(path).inputFiles())[0]
+    lines = [r.value for r in spark.read.text(first).take(n)]
     if len(lines) < n:
         raise ValueError(f"{path} has fewer than {n} header lines")
     return [next(csv.reader([line])) for line in lines]
