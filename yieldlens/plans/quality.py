@@ -380,7 +380,7 @@ def _(spark, sf_dir):
     return rk.top_k(market_ranks(spark, sf_dir), [rk.METHOD], ORDER, 20)
 
 
-@query("kneedle", f'SELECT {COLUMNS}, rank, knee FROM {_knee_sql(RANKS_SQL)}')
+@query("kneedle", f'SELECT {COLUMNS}, CAST(rank AS INT) AS rank, CAST(knee AS INT) AS knee FROM {_knee_sql(RANKS_SQL)}')
 def _(spark, sf_dir):
     return rk.kneedle(market_ranks(spark, sf_dir), [rk.METHOD], rk.VALUE, ORDER)
 
