@@ -44,7 +44,7 @@ def rank_features_rf(
     Trees split on order only, so the features need no scaling.
     """
     vectors = assemble(df, features).select("features", *[st.quoted(t).cast("double").alias(f"_y{i}") for i, t in enumerate(targets)])
-    vectors.persist()
+    vectors = st.spread(vectors)
     total = np.zeros(len(features))
     for i in range(len(targets)):
         forest = RandomForestRegressor(
@@ -239,12 +239,13 @@ def rank_features_forest(
     names = [c for c in dummies.columns if c != target]
     if not names:
         return df.sparkSession.createDataFrame([], RANK_SCHEMA)
-    vectors = assemble(dummies, names).select("features", st.quoted(target).cast("double").alias("label"))
+    vectors = st.spread(assemble(dummies, names).select("features", st.quoted(target).cast("double").alias("label")))
     kinds = {"classification": RandomForestClassifier, "regression": RandomForestRegressor}
     if task not in kinds:
         raise ValueError("task must be 'classification' or 'regression'")
     strategy = "sqrt" if task == "classification" else "all"
     model = kinds[task](numTrees=trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy=strategy).fit(vectors)
+    vectors.unpersist()
     return _rank_table(df.sparkSession, "RF", names, model.featureImportances.toArray())
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from yieldlens.functions.probability import chi2_upper_tail
 from yieldlens.operators import ordered, statistics as st
+from yieldlens.session import cut_lineage
 
 # Fixed value: the text that marks an absent level.
 NO_LEVEL = "None"
@@ -148,8 +149,19 @@ def proportion_test_sites(
     **limits,
 ) -> DataFrame:
     """Each site with its own level list, united by column name."""
+    every = list(dict.fromkeys(c for levels in site_levels.values() for c in levels))
+    masked = [
+        F.when(F.col("site").isin([s for s, levels in site_levels.items() if c in levels]), st.quoted(c)).alias(c)
+        for c in every
+    ]
+    # one pass over the rows for all sites; what is left has a row per combination of levels
+    summed = cut_lineage(
+        df.where(F.col("site").isin(list(site_levels)))
+        .groupBy("site", *masked)
+        .agg(F.sum("NG_num").alias("NG_num"), F.sum("Total_num").alias("Total_num"))
+    )
     result = None
     for site, levels in site_levels.items():
-        part = proportion_test(df.where(F.col("site") == site), levels, alpha, grouping, **limits)
+        part = proportion_test(summed.where(F.col("site") == site), levels, alpha, grouping, **limits)
         result = part if result is None else result.unionByName(part, allowMissingColumns=True)
     return result

@@ -21,6 +21,8 @@ from yieldlens.session import cut_lineage
 TARGET_SHARE, HISTORY_SHARE, EPSILON = 0.8, 0.2, 2.220446049250313e-16
 CANDIDATES, ROUNDS, RESTARTS, SEED = 100, 6, 10, 66
 SHRINK = 0.5
+
+ROWS_PER_TASK = 500_000
 INTERVAL = NormalDist().inv_cdf(0.975)
 
 
@@ -69,8 +71,12 @@ def search(
     middle = F.array(*[F.lit((a + b) / 2.0) for a, b in zip(lower, upper)])
     state = state.withColumn("x", middle).withColumn("cost", F.lit(None).cast("double"))
     width = 1.0
+    spark = targets.sparkSession
+    rows = targets.count() * restarts * candidates
+    tasks = max(spark.sparkContext.defaultParallelism, rows // ROWS_PER_TASK)
     for r in range(rounds):
-        drawn = state.withColumn("candidate", F.explode(F.sequence(F.lit(0), F.lit(candidates - 1))))
+        # the state is small but each row of it becomes many: deal it out before drawing
+        drawn = state.repartition(tasks, "target_id", "restart").withColumn("candidate", F.explode(F.sequence(F.lit(0), F.lit(candidates - 1))))
         place = []
         for j, (a, b) in enumerate(zip(lower, upper)):
             u = _uniform(F.col("target_id"), F.col("restart"), F.col("candidate"), F.lit(j), F.lit(r), F.lit(seed))
@@ -79,8 +85,8 @@ def search(
             # candidate 0 is the best so far, so the cost never rises
             place.append(F.when(F.col("candidate") == 0, F.col("x")[j]).otherwise(kept) if r else kept)
         number = (F.col("target_id") * restarts + F.col("restart")) * candidates + F.col("candidate")
-        rows = drawn.select(number.alias("id"), "target_id", "restart", "candidate", "goals", F.array(*place).alias("x"))
-        named = rows.select("*", *[F.col("x")[j].alias(c) for j, c in enumerate(features)])
+        placed = drawn.select(number.alias("id"), "target_id", "restart", "candidate", "goals", F.array(*place).alias("x"))
+        named = placed.select("*", *[F.col("x")[j].alias(c) for j, c in enumerate(features)])
         scored = model.transform(assemble(named, features, scaler=scaler))
         miss = sum((_relative(st.quoted(f"prediction_{t}"), F.col("goals")[i]) for i, t in enumerate(target_names)), F.lit(0.0))
         drift = sum((_relative(F.col("x")[features.index(c)], F.lit(means[c])) for c in free), F.lit(0.0))

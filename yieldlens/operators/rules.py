@@ -40,12 +40,12 @@ class ItemCounts:
         return F.array_sort(F.transform(ids, lambda i: F.element_at(names, i + 1)))
 
 
-def _class_counts(weight: Column | None = None) -> list[Column]:
-    one = F.lit(1) if weight is None else weight
+def _class_counts() -> list[Column]:
+    w = F.col("_w")
     return [
-        F.sum(one).alias("all"),
-        F.sum(F.when(F.col("_y") == "neg", one).otherwise(0)).alias("neg"),
-        F.sum(F.when(F.col("_y") == "pos", one).otherwise(0)).alias("pos"),
+        F.sum(w).alias("all"),
+        F.sum(F.when(F.col("_y") == "neg", w).otherwise(0)).alias("neg"),
+        F.sum(F.when(F.col("_y") == "pos", w).otherwise(0)).alias("pos"),
     ]
 
 
@@ -92,17 +92,24 @@ def item_counts(
         F.when(label == str(negative), "neg").when(label == str(positive), "pos").otherwise("other").alias("_y"),
         *[F.substring(va.item_text(df, c), len(c) + 2, 2**30).alias(f"_v{i}") for i, c in enumerate(item_columns)],
     )
-    totals = base.groupBy("_by").agg(*_class_counts()).select("_by", *_named("rows"))
+    base = st.collapse(base)
     cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"_v{i}").alias("v")) for i in range(len(item_columns))])
-    singles = (
-        base.select("_by", "_y", F.explode(cells).alias("cell"))
+    cell_counts = (
+        base.select("_by", "_y", "_w", F.explode(cells).alias("cell"))
         .groupBy("_by", "cell.c", "cell.v")
         .agg(*_class_counts())
-        .select("_by", "c", "v", *_named("n"))
-        .join(totals, "_by")
-        .where(_frequent(min_support))
     )
-    found = sorted((r.c, r.v) for r in singles.select("c", "v").distinct().collect())
+    # every row has one value in the first column, so its counts add up to the class sizes
+    totals = cell_counts.where("c = 0").groupBy("_by").agg(*[F.sum(c).alias(f"rows_{c}") for c in ("all", "neg", "pos")])
+    singles = cell_counts.select("_by", "c", "v", *_named("n")).join(totals, "_by").where(_frequent(min_support))
+    if by is None:
+        rows = singles.select("c", "v", "rows_all", "rows_neg", "rows_pos").collect()
+        found = sorted((r.c, r.v) for r in rows)
+        sizes = rows[0][2:] if rows else (0, 0, 0)
+        totals = df.sparkSession.createDataFrame([("", *sizes)], "_by string, rows_all long, rows_neg long, rows_pos long")
+    else:
+        totals = cut_lineage(totals)
+        found = sorted((r.c, r.v) for r in singles.select("c", "v").distinct().collect())
     items = [(item_columns[c], v) for c, v in found]
     width = len(items) + 1
 
@@ -117,14 +124,14 @@ def item_counts(
             code = F.when(match, F.lit(i)) if code is None else code.when(match, F.lit(i))
         codes.append(code)
     ids = F.array_compact(F.array(*codes)) if codes else F.array().cast("array<int>")
-    pruned = base.select("_by", "_y", ids.alias("ids"))
+    pruned = base.select("_by", "_y", "_w", ids.alias("ids"))
 
-    def counted(frame: DataFrame, sizes: Sequence[int], pairs: set[int] | None, weight: Column | None) -> DataFrame:
+    def counted(frame: DataFrame, sizes: Sequence[int], pairs: set[int] | None) -> DataFrame:
         sets = F.concat(*[_subsets(F.col("ids"), k, pairs, width) for k in sizes])
         return (
-            frame.select("_by", "_y", *([weight.alias("_w")] if weight is not None else []), F.explode(sets).alias("ids"))
+            frame.select("_by", "_y", "_w", F.explode(sets).alias("ids"))
             .groupBy("_by", "ids")
-            .agg(*_class_counts(F.col("_w") if weight is not None else None))
+            .agg(*_class_counts())
             .select("_by", "ids", F.size("ids").alias("size"), *_named("n"))
             .join(totals, "_by")
             .where(_frequent(min_support))
@@ -133,17 +140,16 @@ def item_counts(
 
     m = len(per_column)
     if sum(math.comb(m, k) for k in range(1, max_length + 1)) <= sets_per_row:
-        # few columns: equal pruned rows collapse before any set is written out
-        patterns = pruned.groupBy("_by", "_y", "ids").agg(F.count(F.lit(1)).alias("w"))
-        return ItemCounts(counted(patterns, range(1, max_length + 1), None, F.col("w")), totals, items)
+        return ItemCounts(counted(pruned, range(1, max_length + 1), None), totals, items)
 
-    table = counted(pruned, range(1, min(max_length, 2) + 1), None, None)
+    # many columns: triples and longer only where all their pairs are frequent
+    table = counted(pruned, range(1, min(max_length, 2) + 1), None)
     if max_length > 2:
         table = cut_lineage(table)
         rows = table.where("size = 2").select("ids").distinct().limit(max_pair_literals + 1).collect()
         pairs = {r.ids[0] * width + r.ids[1] for r in rows} if len(rows) <= max_pair_literals else None
         if rows:
-            table = table.unionByName(counted(pruned, range(3, max_length + 1), pairs, None))
+            table = table.unionByName(counted(pruned, range(3, max_length + 1), pairs))
     return ItemCounts(table, totals, items)
 
 
@@ -320,8 +326,11 @@ def match_rules(
     """
     wanted = rules.select("rule_id", F.array_sort(F.array_distinct("items")).alias("rule_items"))
     anchored = wanted.withColumn("_anchor", F.element_at("rule_items", 1))
-    rows = transactions.select(
-        F.array_distinct(st.quoted(items)).alias("row_items"), (st.quoted(y) == F.lit(positive)).alias("_positive")
+    rows = st.collapse(
+        transactions.select(
+            F.array_sort(F.array_distinct(st.quoted(items))).alias("row_items"),
+            F.coalesce(st.quoted(y) == F.lit(positive), F.lit(False)).alias("_positive"),
+        )
     ).withColumn("_anchor", F.explode("row_items"))
     if wanted.limit(broadcast_rules + 1).count() <= broadcast_rules:
         joined = rows.join(F.broadcast(anchored), "_anchor")
@@ -332,7 +341,7 @@ def match_rules(
     hits = (
         joined.where(F.forall("rule_items", lambda i: F.array_contains("row_items", i)))
         .groupBy("rule_id")
-        .agg(F.count(F.lit(1)).alias("all_count"), F.count_if("_positive").alias("ng_count"))
+        .agg(F.sum("_w").alias("all_count"), F.sum(F.when(F.col("_positive"), F.col("_w")).otherwise(0)).alias("ng_count"))
     )
     return (
         wanted.select("rule_id")

@@ -7,9 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from yieldlens.session import cut_lineage
+
 SMALL_CELLS = 2_000_000
 BRACKET_ROWS = 20_000
 SKETCH = 10_000
+COLLAPSE_SHARE = 0.1
 
 
 def quoted(name: str) -> Column:
@@ -166,6 +169,33 @@ def _inside(column: str, bracket) -> Column:
     return F.when(keep, value)
 
 
+def collapse(df: DataFrame, share: float = COLLAPSE_SHARE) -> DataFrame:
+    """Equal rows become one row with their number ``_w``, where that pays.
+
+    A distinct-count sketch decides: above ``share`` of the rows the shuffle would save
+    nothing, and every row keeps ``_w`` = 1. The collapsed table is checkpointed, so
+    several passes over it read the source once.
+    """
+    columns = [quoted(c) for c in df.columns]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64(*columns)).alias("kinds")).first()
+    if row["kinds"] > share * row["rows"]:
+        return df.withColumn("_w", F.lit(1).cast("long"))
+    return cut_lineage(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_w")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Persist, and deal a table of fewer partitions than cores out to all of them; training makes many passes."""
+    kept = df.persist()
+    kept.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if kept.rdd.getNumPartitions() >= cores:
+        return kept
+    dealt = kept.repartition(cores).persist()
+    dealt.count()
+    kept.unpersist()
+    return dealt
+
+
 def value_counts(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
     """Long table (column_name, value, n) of the distinct non-null values, pre-aggregated per task."""
     cells = F.array(
