@@ -87,12 +87,14 @@ def item_counts(
 ) -> ItemCounts:
     """Counts of every item set of up to ``max_length`` items that is frequent in some class (and group)."""
     label = st.quoted(y).cast("string")
-    base = df.select(
+    # collapse on the raw cells, then write them as text
+    raw = st.collapse(df.select(*[st.quoted(c) for c in dict.fromkeys([*([by] if by else []), y, *item_columns])]))
+    base = raw.select(
         (F.lit("") if by is None else st.quoted(by).cast("string")).alias("_by"),
         F.when(label == str(negative), "neg").when(label == str(positive), "pos").otherwise("other").alias("_y"),
-        *[F.substring(va.item_text(df, c), len(c) + 2, 2**30).alias(f"_v{i}") for i, c in enumerate(item_columns)],
+        *[va.item_value(df, c).alias(f"_v{i}") for i, c in enumerate(item_columns)],
+        "_w",
     )
-    base = st.collapse(base)
     cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"_v{i}").alias("v")) for i in range(len(item_columns))])
     cell_counts = (
         base.select("_by", "_y", "_w", F.explode(cells).alias("cell"))
@@ -326,12 +328,13 @@ def match_rules(
     """
     wanted = rules.select("rule_id", F.array_sort(F.array_distinct("items")).alias("rule_items"))
     anchored = wanted.withColumn("_anchor", F.element_at("rule_items", 1))
-    rows = st.collapse(
+    # collapse on the arrays as they are; sorting and deduplicating them is left to the fewer rows
+    held = st.collapse(
         transactions.select(
-            F.array_sort(F.array_distinct(st.quoted(items))).alias("row_items"),
-            F.coalesce(st.quoted(y) == F.lit(positive), F.lit(False)).alias("_positive"),
+            st.quoted(items).alias("row_items"), F.coalesce(st.quoted(y) == F.lit(positive), F.lit(False)).alias("_positive")
         )
-    ).withColumn("_anchor", F.explode("row_items"))
+    )
+    rows = held.withColumn("_anchor", F.explode(F.array_distinct("row_items")))
     if wanted.limit(broadcast_rules + 1).count() <= broadcast_rules:
         joined = rows.join(F.broadcast(anchored), "_anchor")
     else:

@@ -164,12 +164,17 @@ def sparse_one_hot(df: DataFrame, columns: Sequence[str], output: str = "feature
     return model.transform(df).drop(*indexes, *vectors), model
 
 
-def item_text(df: DataFrame, column: str) -> Column:
-    """``column=value``; null reads ``column=nan``."""
+def item_value(df: DataFrame, column: str) -> Column:
+    """The cell as text; null reads ``nan``."""
     value = st.quoted(column)
     if dict(df.dtypes)[column] == "boolean":
         value = F.initcap(value.cast("string"))
-    return F.concat(F.lit(f"{column}="), F.coalesce(value.cast("string"), F.lit("nan")))
+    return F.coalesce(value.cast("string"), F.lit("nan"))
+
+
+def item_text(df: DataFrame, column: str) -> Column:
+    """``column=value``."""
+    return F.concat(F.lit(f"{column}="), item_value(df, column))
 
 
 def encode_items(df: DataFrame, columns: Sequence[str], output: str | None = None) -> DataFrame:

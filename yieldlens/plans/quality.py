@@ -81,7 +81,7 @@ def _test_sql(source: str, levels: list[str], every: list[str], grouping: str =
     f'SELECT "Parameter", tool_id, chmb, flag, site, "NG_num", "Total_num", "NG_Ratio" FROM ({_levels_sql(UNITS_SQL, LEVELS, LEVELS)})',
 )
 def _(spark, sf_dir):
-    return pt.ng_ratio_levels(units(spark, sf_dir), LEVELS).drop("depth")
+    return pt.ng_ratio_levels(units(spark, sf_dir), LEVELS)
 
 
 @query("chi2_by_group", _test_sql(UNITS_SQL, LEVELS, LEVELS, every_p=True))
