@@ -326,7 +326,8 @@ def match_rules(
     Rules are broadcast when counted to be few; otherwise the join is salted, since one
     item may be in a third of all rows.
     """
-    wanted = rules.select("rule_id", F.array_sort(F.array_distinct("items")).alias("rule_items"))
+    # counted and joined twice, so written once
+    wanted = cut_lineage(rules.select("rule_id", F.array_sort(F.array_distinct("items")).alias("rule_items")))
     anchored = wanted.withColumn("_anchor", F.element_at("rule_items", 1))
     # collapse on the arrays as they are; sorting and deduplicating them is left to the fewer rows
     held = st.collapse(

@@ -42,7 +42,7 @@ def null_ratios(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
     columns = list(columns if columns is not None else df.columns)
     row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)])
     row = row.first()
-    return {c: (1 - row[f"c{i}"] / row["rows"]) if row["rows"] else 0.0 for i, c in enumerate(columns)}
+    return {c: (row["rows"] - row[f"c{i}"]) / row["rows"] if row["rows"] else 0.0 for i, c in enumerate(columns)}
 
 
 def exact_quantiles(
