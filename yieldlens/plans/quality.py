@@ -335,7 +335,11 @@ def _(spark, sf_dir):
 # ---- rank lists
 
 LINE = '(PARTITION BY "Method" ORDER BY "IndexValue" DESC, "OPID_TOOLID")'
-ORDER = rk.ranking(rk.VALUE, rk.LABEL)
+
+
+def _order():
+    return rk.ranking(rk.VALUE, rk.LABEL)
+
 
 
 def _knee_sql(source: str) -> str:
@@ -377,27 +381,27 @@ def _(spark, sf_dir):
 
 @query("top_k", f'SELECT {COLUMNS} FROM {RANKS_SQL} QUALIFY row_number() OVER {LINE} <= 20')
 def _(spark, sf_dir):
-    return rk.top_k(market_ranks(spark, sf_dir), [rk.METHOD], ORDER, 20)
+    return rk.top_k(market_ranks(spark, sf_dir), [rk.METHOD], _order(), 20)
 
 
 @query("kneedle", f'SELECT {COLUMNS}, CAST(rank AS INT) AS rank, CAST(knee AS INT) AS knee FROM {_knee_sql(RANKS_SQL)}')
 def _(spark, sf_dir):
-    return rk.kneedle(market_ranks(spark, sf_dir), [rk.METHOD], rk.VALUE, ORDER)
+    return rk.kneedle(market_ranks(spark, sf_dir), [rk.METHOD], rk.VALUE, _order())
 
 
 @query("cut_inclusive", f'SELECT {COLUMNS} FROM {_knee_sql(RANKS_SQL)} WHERE knee IS NULL OR rank <= knee')
 def _(spark, sf_dir):
-    return rk.cut_inclusive(rk.kneedle(market_ranks(spark, sf_dir), [rk.METHOD], rk.VALUE, ORDER)).drop("rank", "knee")
+    return rk.cut_inclusive(rk.kneedle(market_ranks(spark, sf_dir), [rk.METHOD], rk.VALUE, _order())).drop("rank", "knee")
 
 
 @query("cut_exclusive", f'SELECT {COLUMNS} FROM {_knee_sql(RANKS_SQL)} WHERE rank <= CASE WHEN knee IS NULL OR knee = 1 THEN 5 ELSE knee - 1 END')
 def _(spark, sf_dir):
-    return rk.cut_exclusive(rk.kneedle(market_ranks(spark, sf_dir), [rk.METHOD], rk.VALUE, ORDER)).drop("rank", "knee")
+    return rk.cut_exclusive(rk.kneedle(market_ranks(spark, sf_dir), [rk.METHOD], rk.VALUE, _order())).drop("rank", "knee")
 
 
 @query("label_frequency", f'SELECT \'Kneedle\' AS "Method", "OPID_TOOLID", count(*) AS "IndexValue" FROM {_knee_sql(RANKS_SQL)} WHERE knee IS NULL OR rank <= knee GROUP BY "OPID_TOOLID"')
 def _(spark, sf_dir):
-    return rk.label_frequency([rk.cut_inclusive(rk.kneedle(market_ranks(spark, sf_dir), [rk.METHOD], rk.VALUE, ORDER))])
+    return rk.label_frequency([rk.cut_inclusive(rk.kneedle(market_ranks(spark, sf_dir), [rk.METHOD], rk.VALUE, _order()))])
 
 
 @query(
