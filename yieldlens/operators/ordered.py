@@ -1,9 +1,9 @@
 """Row positions and look-back windows that stay bounded when one key holds most rows.
 
-A plain window sends all rows of a key to one task. When the largest key is over
-``max_group_rows`` the rows are range-sorted over all tasks instead, numbered by
-partition offsets, and cut in blocks of equal length; each block also gets the
-``look_back`` rows before it, so every window value is the same as in one long window.
+A plain window sends all rows of a key to one task. Rows of keys over ``max_group_rows``
+are range-sorted over all tasks instead, numbered by partition offsets, and cut in blocks
+of equal length; each block also gets the ``look_back`` rows before it, so every window
+value is the same as in one long window. All other keys keep the plain window.
 """
 
 from __future__ import annotations
@@ -33,6 +33,25 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def _cold_and_hot(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of keys up to ``max_group_rows``, and rows of longer keys; None where there are none.
+
+    There are at most rows / max_group_rows long keys.
+    """
+    if largest_group(df, keys) <= max_group_rows:
+        return df, None
+    if not keys:
+        return None, df
+    long_keys = cut_lineage(df.groupBy(*keys).count().where(F.col("count") > max_group_rows).select(*keys))
+    return join_on(df, long_keys, keys, "left_anti"), join_on(df, long_keys, keys, "left_semi")
+
+
+def _united(cold: DataFrame | None, hot: DataFrame | None) -> DataFrame:
+    if cold is None or hot is None:
+        return hot if cold is None else cold
+    return cold.unionByName(hot)
+
+
 def _range_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     by = [*[F.col(f"`{k}`") for k in keys], *order]
     placed = cut_lineage(
@@ -58,9 +77,13 @@ def with_ordinal(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """0-based position of each row inside its keys; ``order`` must leave no ties."""
-    if largest_group(df, keys) > max_group_rows:
-        return _range_ordinal(df, keys, order, name)
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long") - 1)
+    cold, hot = _cold_and_hot(df, keys, max_group_rows)
+    if cold is not None:
+        spec = Window.partitionBy(*keys).orderBy(*order)
+        cold = cold.withColumn(name, F.row_number().over(spec).cast("long") - 1)
+    if hot is not None:
+        hot = _range_ordinal(hot, keys, order, name)
+    return _united(cold, hot)
 
 
 def look_back_windows(
@@ -68,22 +91,30 @@ def look_back_windows(
     keys: Sequence[str],
     order: Sequence[Column],
     look_back: int,
-    build: Callable[[DataFrame, WindowSpec], DataFrame],
+    build: Callable[[DataFrame, WindowSpec, WindowSpec | None], DataFrame],
     name: str = "ordinal",
     max_group_rows: int = MAX_GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Apply ``build(df, window)`` where its columns read at most ``look_back`` earlier rows."""
-    if largest_group(df, keys) <= max_group_rows:
+    """Apply ``build(df, window, whole)`` where its columns read at most ``look_back`` earlier rows.
+
+    ``whole`` is the window of a key's rows; it is None in blocks, where no task sees them
+    all. Both calls must add the same columns.
+    """
+    cold, hot = _cold_and_hot(df, keys, max_group_rows)
+    if cold is not None:
         spec = Window.partitionBy(*keys).orderBy(*order)
-        return build(df.withColumn(name, F.row_number().over(spec).cast("long") - 1), spec)
-    placed = _range_ordinal(df, keys, order, name)
-    own = F.floor(F.col(name) / block_rows)
-    reaches_next = F.pmod(F.col(name), F.lit(block_rows)) >= block_rows - look_back
-    copies = F.when(reaches_next, F.array(own, own + 1)).otherwise(F.array(own))
-    blocks = placed.withColumn("_block", F.explode(copies))
-    built = build(blocks, Window.partitionBy(*keys, "_block").orderBy(name))
-    return built.where(F.col("_block") == own).drop("_block")
+        numbered = cold.withColumn(name, F.row_number().over(spec).cast("long") - 1)
+        cold = build(numbered, spec, Window.partitionBy(*keys))
+    if hot is not None:
+        placed = _range_ordinal(hot, keys, order, name)
+        own = F.floor(F.col(name) / block_rows)
+        reaches_next = F.pmod(F.col(name), F.lit(block_rows)) >= block_rows - look_back
+        copies = F.when(reaches_next, F.array(own, own + 1)).otherwise(F.array(own))
+        blocks = placed.withColumn("_block", F.explode(copies))
+        built = build(blocks, Window.partitionBy(*keys, "_block").orderBy(name), None)
+        hot = built.where(F.col("_block") == own).drop("_block")
+    return _united(cold, hot)
 
 
 def running_sum(
@@ -122,7 +153,7 @@ def run_ids(
 ) -> DataFrame:
     """Number the runs of consecutive rows with equal ``same`` columns."""
 
-    def changed(frame: DataFrame, spec: WindowSpec) -> DataFrame:
+    def changed(frame: DataFrame, spec: WindowSpec, _whole) -> DataFrame:
         equal = F.lit(True)
         for c in same:
             equal = equal & F.lag(c).over(spec).eqNullSafe(F.col(f"`{c}`"))
@@ -145,7 +176,7 @@ def drop_adjacent_repeats(
 ) -> DataFrame:
     """Drop each row whose ``same`` columns equal those of the row just before it."""
 
-    def repeats(frame: DataFrame, spec: WindowSpec) -> DataFrame:
+    def repeats(frame: DataFrame, spec: WindowSpec, _whole) -> DataFrame:
         equal = F.lag(F.lit(1)).over(spec).isNotNull()
         for c in same:
             equal = equal & F.lag(c).over(spec).eqNullSafe(F.col(f"`{c}`"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from yieldlens.operators import columns as co, rows as ro, statistics as st, values as va
-from yieldlens.operators.guards import InputError
+from yieldlens.operators.guards import InputError, check_xy_inputs
 
 # Column names and codes of the inspection export.
 SHEET, TIME, MODEL = "sheet_id", "檢查日時", "model_no"
@@ -86,8 +86,6 @@ def prepare_xy(
 
     The joined table is persisted because four statistics passes read it.
     """
-    from yieldlens.operators.guards import check_xy_inputs
-
     check_xy_inputs(x, inspection)
     y = measure_targets(inspection, target)
     targets = [c.replace(" ", "_") for c in y.columns if c != SHEET]
@@ -101,10 +99,7 @@ def finish_xy(
     joined = joined.persist()
     if joined.isEmpty():
         raise InputError("no sheet is in both tables")
-    numeric = set(st.numeric_columns(joined))
-    df = co.drop_null_columns(joined, max_null_ratio).select(
-        *[st.quoted(c) for c in co.drop_null_columns(joined, max_null_ratio).columns if c in numeric]
-    )
+    df = co.select_by_type(co.drop_null_columns(joined, max_null_ratio), "numerical")
     df = va.winsorize(va.impute_mean(df), low=low, high=high)
     df = co.drop_constant(df, nulls="value")
     gone = [c for c in targets if c not in df.columns]

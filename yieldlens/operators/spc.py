@@ -26,7 +26,7 @@ def rolling_statistics(
 ) -> DataFrame:
     """Add ordinal, x_bar, s, s_bar (trailing five rows) and the moving range."""
     return ordered.look_back_windows(
-        df, keys, order, 2 * (WINDOW_ROWS - 1), lambda d, w: _rolling(d, w, value), **limits
+        df, keys, order, 2 * (WINDOW_ROWS - 1), lambda d, w, _whole: _rolling(d, w, value), **limits
     )
 
 
@@ -54,13 +54,22 @@ def q_statistic(
     Rows 0 and 1 and rows whose mean deviation is zero get 0. ``compat`` also gives 0
     where a very large jump would round the t probability to one.
     """
+    return _q_rows(df, keys, order, value, compat, **limits).drop("_mr_bar", "_cl", "_in_blocks")
+
+
+def _q_rows(df, keys, order, value, compat, **limits) -> DataFrame:
+    """``q_statistic``, with the series' means _mr_bar and _cl where one window holds the series."""
     x = st.quoted(value).cast("double")
 
-    def build(d: DataFrame, spec: WindowSpec) -> DataFrame:
+    def build(d: DataFrame, spec: WindowSpec, whole: WindowSpec | None) -> DataFrame:
         k = F.col("ordinal").cast("double")
         jump = x - F.lag("x_bar").over(spec)
         t = F.when(F.col("ordinal") >= 2, F.try_divide(F.sqrt(k / (k + 1)) * jump, F.col("s_bar")))
-        return _rolling(d, spec, value).withColumn("t_value", t)
+        rows = _rolling(d, spec, value).withColumn("t_value", t)
+        means = {"_mr_bar": F.avg("moving_range"), "_cl": F.avg(x)}
+        if whole is None:
+            return rows.withColumns({c: F.lit(None).cast("double") for c in means}).withColumn("_in_blocks", F.lit(True))
+        return rows.withColumns({c: m.over(whole) for c, m in means.items()}).withColumn("_in_blocks", F.lit(False))
 
     rolled = ordered.look_back_windows(df, keys, order, 2 * (WINDOW_ROWS - 1), build, **limits)
     tail = F.col("_tail")
@@ -80,20 +89,23 @@ def xmr_limits(
     """Per series: mean moving range, sigma, ucl and cl of the X-MR chart."""
     x = st.quoted(value).cast("double")
     ranges = ordered.look_back_windows(
-        df, keys, order, 1, lambda d, w: d.withColumn("moving_range", F.abs(x - F.lag(x).over(w))), **limits
+        df, keys, order, 1, lambda d, w, _whole: d.withColumn("moving_range", F.abs(x - F.lag(x).over(w))), **limits
     )
     return _limits(ranges, keys, value, center)
 
 
-def _limits(ranges: DataFrame, keys: Sequence[str], value: str, center: str) -> DataFrame:
+def _upper_limit(mr_bar: Column, mean: Column, center: str) -> Column:
     if center not in ("range", "mean"):
         raise ValueError("center must be 'range' or 'mean'")
-    start = F.col("mr_bar") if center == "range" else F.col("cl")
+    return (mr_bar if center == "range" else mean) + 3 * (mr_bar / D2)
+
+
+def _limits(ranges: DataFrame, keys: Sequence[str], value: str, center: str) -> DataFrame:
     return (
         ranges.groupBy(*keys)
         .agg(F.avg("moving_range").alias("mr_bar"), F.avg(st.quoted(value).cast("double")).alias("cl"))
         .withColumn("sigma", F.col("mr_bar") / D2)
-        .withColumn("ucl", start + 3 * F.col("sigma"))
+        .withColumn("ucl", _upper_limit(F.col("mr_bar"), F.col("cl"), center))
         .select(*keys, "mr_bar", "sigma", "ucl", "cl")
     )
 
@@ -111,8 +123,12 @@ def spc_table(
     **limits,
 ) -> DataFrame:
     """Per row: Q value, x value and the three out-of-limit flags (upper side only)."""
-    rolled = q_statistic(df, keys, order, value, compat, **limits)
-    joined = ordered.join_on(rolled, _limits(rolled, keys, value, center), keys)
+    rolled = _q_rows(df, keys, order, value, compat, **limits)
+    # series cut in blocks get their limits from an aggregation; without any, this join folds away
+    in_blocks = _limits(rolled.where("_in_blocks"), keys, value, center).select(*keys, F.col("ucl").alias("_blocks_ucl"))
+    joined = ordered.join_on(rolled, in_blocks, keys, "left").withColumn(
+        "ucl", F.coalesce("_blocks_ucl", _upper_limit(F.col("_mr_bar"), F.col("_cl"), center))
+    )
     x = st.quoted(value)
     spec_flag = F.lit(None).cast("boolean") if usl is None else x > F.lit(usl)
     return joined.select(
