@@ -137,7 +137,7 @@ def _(spark, sf_dir):
 
 # ---- model comparison and choice
 
-SMALL = {"rounds": 5, "trees": 10, "depth": 4, "iterations": 50}
+SMALL = {"rounds": 5, "trees": 10, "depth": 4, "iterations": 15}
 
 
 def _measures(spark, sf_dir, *targets: str):
