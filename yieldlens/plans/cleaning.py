@@ -67,7 +67,7 @@ def _(spark, sf_dir):
     return co.cast_all_string(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice"))
 
 
-@query("drop_columns_like", f"SELECT * EXCLUDE (op1_rework_flag) FROM {PROCESS_SQL}")
+@query("drop_columns_like", f"SELECT * EXCLUDE (station1_rework_flag) FROM {PROCESS_SQL}")
 def _(spark, sf_dir):
     return co.drop_columns_like(process(spark, sf_dir))
 
@@ -78,7 +78,7 @@ def _(spark, sf_dir):
     return co.rename(df, {"p_partkey": "Parameter"}, replace=("_", "-"))
 
 
-@query("select_numeric", f"SELECT l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax, some_holes, many_holes, fixed_number, holed_constant, empty_number, op1_rework_flag FROM {PROCESS_SQL}")
+@query("select_numeric", f"SELECT l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax, some_holes, many_holes, fixed_number, holed_constant, empty_number, station1_rework_flag FROM {PROCESS_SQL}")
 def _(spark, sf_dir):
     return co.select_by_type(process(spark, sf_dir), "numerical")
 
@@ -159,7 +159,7 @@ def _fences(source: str, columns: list[str]) -> str:
 
 
 @query(
-    "clean_pipeline",
+    "clean_table",
     f"WITH kept AS ({_fences('(SELECT event_id, user_id, value, event_type, holes FROM ' + EVENTS_SQL + ')', ['event_id', 'user_id', 'value', 'holes'])}), "
     "s AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in ("event_id", "user_id", "value", "holes")) + " FROM kept) "
     "SELECT " + ", ".join(f"{r6(f'({c} - m_{c}) / d_{c}')} AS {c}" for c in ("event_id", "user_id", "value", "holes"))
@@ -292,10 +292,10 @@ def _(spark, sf_dir):
     return encoded.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.count_if(ones != 1.0).alias("misses"))
 
 
-@query("encode_items", f"SELECT l_orderkey, concat('grade=', coalesce(grade, 'nan')) AS grade, concat('op1_rework_flag=', CAST(op1_rework_flag AS STRING)) AS op1_rework_flag FROM {PROCESS_SQL}")
+@query("encode_items", f"SELECT l_orderkey, concat('grade=', coalesce(grade, 'nan')) AS grade, concat('station1_rework_flag=', CAST(station1_rework_flag AS STRING)) AS station1_rework_flag FROM {PROCESS_SQL}")
 def _(spark, sf_dir):
-    df = process(spark, sf_dir).select("l_orderkey", "grade", "op1_rework_flag")
-    return va.encode_items(df, ["grade", "op1_rework_flag"])
+    df = process(spark, sf_dir).select("l_orderkey", "grade", "station1_rework_flag")
+    return va.encode_items(df, ["grade", "station1_rework_flag"])
 
 
 @query("array_to_string", f"SELECT l_orderkey, array_to_string(list_sort([concat('l_returnflag=', l_returnflag), concat('grade=', coalesce(grade, 'nan'))]), ',') AS items FROM {PROCESS_SQL}")

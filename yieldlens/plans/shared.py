@@ -50,7 +50,7 @@ PROCESS = [
     "7 AS fixed_number", "'line-1' AS fixed_text",
     "CASE WHEN l_quantity > 45 THEN NULL ELSE 1 END AS holed_constant",
     "CAST(NULL AS DOUBLE) AS empty_number",
-    "l_linenumber AS op1_rework_flag",
+    "l_linenumber AS station1_rework_flag",
 ]
 
 
@@ -96,7 +96,7 @@ TRANSACTIONS = [
     "CASE WHEN l_quantity > 45 THEN NULL ELSE p_type END AS p_type",
     "o_orderpriority",
     "CASE WHEN l_linenumber > 5 THEN 0 ELSE l_linenumber END AS station",
-    "p_size AS op1_rework_flag",
+    "p_size AS station1_rework_flag",
 ]
 
 
