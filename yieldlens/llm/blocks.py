@@ -7,7 +7,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from yieldlens.llm.common import spread
+from yieldlens.llm.common import importable, spread
 
 
 def _counts(df: DataFrame, cells: int) -> dict[int, int]:
@@ -27,6 +27,7 @@ def against(
     broadcast are the numbers of shares, one row for each cell.
     """
     spark = rows.sparkSession
+    importable(spark)
     asked, there = _counts(queries, cells), _counts(rows, cells)
     plan = [
         (c, -(-asked[c] // chunk), -(-there[c] // block)) for c in sorted(asked) if c in there

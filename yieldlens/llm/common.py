@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -155,6 +156,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it; a cluster has it installed."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, environment.get("PYTHONPATH")]))
+
+
 def in_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` with a function from one record batch to record batches or nothing."""
 
@@ -162,4 +171,5 @@ def in_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> D
         for batch in batches:
             yield from function(batch)
 
+    importable(df.sparkSession)
     return df.mapInArrow(run, schema)

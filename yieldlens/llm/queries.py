@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from yieldlens.llm import ann, topk, urls
+from yieldlens.llm import ann, bpe, language, packing, quality, topk, urls
+from yieldlens.llm.common import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,13 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows.where(F.col("vec_id") % 50 == 0), rows, k=5)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learned from documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(docs))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products of each vector whose id is divisible by 100."""
     rows = _table(spark, sf_dir, "embeddings")
@@ -40,6 +48,25 @@ WITH whole AS (
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 10
 """
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again: number of ids and digests."""
+    return bpe.round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; learned from labels that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    found = quality.score(docs, quality.train(docs, labels))
+    return found.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    )
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 #: Fixed by the query's contract: host, path, verdict.
 URL_RULES = [
     ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
@@ -74,7 +101,11 @@ FROM judged
 
 QUERIES = {
     "op1_ann": op1_ann,
+    "op2_language": op2_language,
     "op3_topk": op3_topk,
+    "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
+    "op8_packing": op8_packing,
     "op10_urls": op10_urls,
 }
 ORACLES = {"op3_topk": OP3_SQL, "op10_urls": OP10_SQL}
