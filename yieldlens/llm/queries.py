@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from yieldlens.llm import ann, bpe, language, packing, quality, topk, urls
+from yieldlens.llm import ann, bpe, language, packing, quality, substrings, topk, urls
 from yieldlens.llm.common import held_out
 
 
@@ -62,6 +62,37 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of 20 words that start earlier too."""
+    found = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH listed AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), spans AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM listed WHERE len(words) >= 20
+), windows AS MATERIALIZED (
+  SELECT doc_id, start, sha256(array_to_string(words[start : start + 19], ' ')) AS window_text FROM spans
+), firsts AS (
+  SELECT window_text, min(doc_id) AS first_doc, arg_min(start, (doc_id, start)) AS first_start
+  FROM windows GROUP BY window_text HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS place
+  FROM windows JOIN firsts USING (window_text) WHERE doc_id <> first_doc OR start <> first_start
+), places AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM listed
+), kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.place) AS text, count(*) AS n
+  FROM places p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id
+)
+SELECT l.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM listed l LEFT JOIN kept k USING (doc_id)
+"""
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2048 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -105,7 +136,8 @@ QUERIES = {
     "op3_topk": op3_topk,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
+    "op6_substrings": op6_substrings,
     "op8_packing": op8_packing,
     "op10_urls": op10_urls,
 }
-ORACLES = {"op3_topk": OP3_SQL, "op10_urls": OP10_SQL}
+ORACLES = {"op3_topk": OP3_SQL, "op6_substrings": OP6_SQL, "op10_urls": OP10_SQL}
