@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from yieldlens.llm import ann, bpe, language, packing, quality, substrings, topk, urls
+from yieldlens.llm import ann, bpe, language, neardup, packing, quality, substrings, topk, urls
 from yieldlens.llm.common import held_out
 
 
@@ -98,6 +98,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest id of its class of near copies."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 #: Fixed by the query's contract: host, path, verdict.
 URL_RULES = [
     ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
@@ -138,6 +143,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_substrings": op6_substrings,
     "op8_packing": op8_packing,
+    "op9_neardup": op9_neardup,
     "op10_urls": op10_urls,
 }
 ORACLES = {"op3_topk": OP3_SQL, "op6_substrings": OP6_SQL, "op10_urls": OP10_SQL}
