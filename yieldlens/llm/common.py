@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -156,6 +157,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared checkpoint folder and read again, where only some columns are read each time."""
+    spark = df.sparkSession
+    checkpointed(spark.range(1))  # makes sure the folder is known
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers find this package where the driver found it; a cluster has it installed."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -169,7 +169,7 @@ def identify(
     ``lang_pred`` is one of the languages learned, and ``score``, from 0 to 1, how sure it is:
     the family's certainty times the language's. A text that is null or has no letter, and every
     text if nothing was learned, is ``und`` with score 0. Whole texts count. Repeated rows each get a row; columns
-    other than the two named are not read (with ``keep``, only handed on); an empty table gives no rows.
+    other than the two named are not read (with ``keep``, handed on; any named ``lang_pred_`` or ``score_`` are replaced); an empty table gives no rows.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -186,11 +186,18 @@ def identify(
 
     if keep:
         def run(batch: pa.RecordBatch):
-            found = judge(batch.column(text))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "lang_pred_", "score_"])
-
-        kinds = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-        return in_arrow(docs, run, f"{kinds}, lang_pred_ string, score_ double")
+            found = judge(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], *found], names=[*batch.schema.names[:-1], "lang_pred_", "score_"]
+            )
+
+        columns = [c for c in docs.columns if c not in ("lang_pred_", "score_")]
+        renamed = docs.select(
+            *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], F.col(f"`{text}`").cast("string").alias("text")
+        )
+        kinds = ", ".join(f"{c} {t}" for c, t in renamed.dtypes[:-1])
+        judged = in_arrow(renamed, run, f"{kinds}, lang_pred_ string, score_ double")
+        return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], "lang_pred_", "score_")
 
     def run(batch: pa.RecordBatch):
         yield pa.RecordBatch.from_arrays([batch.column(0), *judge(batch.column(1))], names=["id", "lang_pred", "score"])

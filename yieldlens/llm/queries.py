@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from yieldlens.llm import ann, bpe, language, neardup, packing, quality, substrings, topk, urls
+from yieldlens.llm import ann, bpe, language, lines, neardup, packing, quality, substrings, topk, urls
 from yieldlens.llm.common import held_out
 
 
@@ -93,6 +93,12 @@ FROM listed l LEFT JOIN kept k USING (doc_id)
 """
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that are equal or similar to an earlier one."""
+    found = lines.dedupe_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2048 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -142,6 +148,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op6_substrings": op6_substrings,
+    "op7_lines": op7_lines,
     "op8_packing": op8_packing,
     "op9_neardup": op9_neardup,
     "op10_urls": op10_urls,
