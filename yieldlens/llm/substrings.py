@@ -157,14 +157,54 @@ def _meet(buckets: int):
         starts, lengths = _runs(h)
         later = at[order[key > np.repeat(key[starts], lengths)]]
         marked = np.sort(np.concatenate([later, np.flatnonzero(~known)]))
-        starts, lengths = _runs(doc[marked])
-        docs = doc[marked][starts]
-        offsets = np.append(starts, len(marked)).astype(np.int32)
+        # the marks go to their documents' places, a row for each place
+        to = (mix64(ids.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)[doc[marked]]
+        by = np.argsort(to, kind="stable")
+        rows = []
+        for start, length in zip(*_runs(to[by])):
+            own = marked[by[start : start + length]]
+            firsts, counts = _runs(doc[own])
+            docs = doc[own][firsts]
+            rows.append((
+                int(to[by[start]]), ids[docs].astype("<i8").tobytes(), tags[docs].astype("<u4").tobytes(), _planes(counts),
+                _planes(places[own]),
+            ))
+        names = _SENT_SCHEMA.names[:-1]
+        return pa.table({n: pa.array([r[i] for r in rows], _SENT_SCHEMA.field(n).type) for i, n in enumerate(names)})
+
+    return run
+
+
+def _gather(window: int):
+    """The marks of documents as word intervals: a row for each document, overlapping windows merged."""
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = {c: table[c].to_pylist() for c in ("docs", "tags", "counts", "places")}
+        ids = np.concatenate([np.frombuffer(x, "<i8") for x in columns["docs"]])
+        tags = np.concatenate([np.frombuffer(x, "<u4") for x in columns["tags"]]).astype(np.int64)
+        counts = np.concatenate([_from_planes(x) for x in columns["counts"]])
+        places = np.concatenate([_from_planes(x) for x in columns["places"]]).astype(np.int64)
+        order = np.lexsort((tags, ids))
+        new = np.ones(len(order), bool)
+        new[1:] = (ids[order][1:] != ids[order][:-1]) | (tags[order][1:] != tags[order][:-1])
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(new) - 1
+        key = np.sort((np.repeat(number, counts) << 32) | places)
+        # a window that starts after the end of the one before it opens an interval
+        opens = np.ones(len(key), bool)
+        opens[1:] = key[1:] - key[:-1] > window
+        firsts = np.flatnonzero(opens)
+        lasts = np.append(firsts[1:], len(key)) - 1
+        doc, starts = key[firsts] >> 32, (key[firsts] & 0xFFFFFFFF).astype(np.int32)
+        ends = ((key[lasts] & 0xFFFFFFFF) + window).astype(np.int32)
+        at, _ = _runs(doc)
+        offsets = pa.array(np.append(at, len(doc)).astype(np.int32))
+        picked = order[new]
         return pa.table(
             {
-                "id_": ids[docs],
-                "tag_": tags[docs].astype(np.int64),
-                "places": pa.ListArray.from_arrays(pa.array(offsets), pa.array(places[marked].astype(np.int32))),
+                "id_": ids[picked], "tag_": tags[picked],
+                "starts": pa.ListArray.from_arrays(offsets, pa.array(starts)),
+                "ends": pa.ListArray.from_arrays(offsets, pa.array(ends)),
             }
         )
 
@@ -172,7 +212,7 @@ def _meet(buckets: int):
 
 
 def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``id_, tag_, places``: for documents with repeated windows, where those windows start (a row or more a document).
+    """``id_, tag_, starts, ends``: for each document with repeated windows, the word intervals they cover.
 
     ``tag_`` is the text's crc32; null ids are the least long.
     """
@@ -183,25 +223,25 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     sent = in_arrow(
         read, _send(window, buckets), "bucket int, docs binary, tags binary, counts binary, places binary, hashes binary"
     )
-    return sent.groupBy("bucket").applyInArrow(_meet(buckets), "id_ long, tag_ long, places array<int>")
+    met = sent.groupBy("bucket").applyInArrow(
+        _meet(buckets), "bucket int, docs binary, tags binary, counts binary, places binary"
+    )
+    return met.groupBy("bucket").applyInArrow(_gather(window), "id_ long, tag_ long, starts array<int>, ends array<int>")
 
 
-def _cut(window: int, spaces: bool):
+def _cut(spaces: bool):
     def run(batch: pa.RecordBatch):
         data, at = text_buffer(batch.column(0))
-        marks = batch.column(1)
         n = batch.num_rows
         words_n, removed_n, texts = np.zeros(n, np.int64), np.zeros(n, np.int64), []
         for first, last in pieces(at, 1 << 20):
             own, places = data[at[first] : at[last]], at[first : last + 1] - at[first]
             words = Words(own, places)
             edge = np.zeros(len(words) + 1, np.int64)
-            mine = marks.slice(first, last - first)
-            starts = mine.flatten().to_numpy(zero_copy_only=False)
-            sizes = np.diff(mine.offsets.to_numpy())
-            starts = np.repeat(words.bounds[:-1], sizes) + starts
-            np.add.at(edge, starts, 1)
-            np.add.at(edge, starts + window, -1)
+            for column, step in ((1, 1), (2, -1)):
+                mine = batch.column(column).slice(first, last - first)
+                base = np.repeat(words.bounds[:-1], np.diff(mine.offsets.to_numpy()))
+                np.add.at(edge, base + mine.flatten().to_numpy(zero_copy_only=False), step)
             gone = np.cumsum(edge[:-1]) > 0
             keep = ~gone
             words_n[first:last] = np.diff(words.bounds)
@@ -229,8 +269,8 @@ def _cut(window: int, spaces: bool):
                 else:
                     texts.append(raw[a : b - (0 if spaces or b == a else 1)])
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[2:], pa.array(words_n), pa.array(removed_n), pa.array(texts, pa.binary()).cast(pa.string())],
-            names=[*batch.schema.names[2:], "n_words", "n_removed", "kept"],
+            [*batch.columns[3:], pa.array(words_n), pa.array(removed_n), pa.array(texts, pa.binary()).cast(pa.string())],
+            names=[*batch.schema.names[3:], "n_words", "n_removed", "kept"],
         )
 
     return run
@@ -249,17 +289,14 @@ def remove_repeats(
 
     Every window's hash is formed in one pass. A batch of texts sends the earliest window
     of each hash to the hash's bucket and knows by itself that later ones are repeats, so a
-    frequent passage comes once a batch. A bucket marks all but the earliest; the marks return
-    to their documents, where they merge into intervals.
+    frequent passage comes once a batch. A bucket marks all but the earliest; the marks of a
+    document meet and merge into maximal intervals, which are joined to its text.
 
     A null text has no words; texts under ``window`` words stay whole. Rows with an equal id
     are one document for the order and are cut each by its own text; a null id is the
     smallest. With ``spaces``, columns named ``n_words, n_removed, kept`` are replaced. An empty table gives no rows.
     """
-    marks = (
-        repeated_windows(docs, id_column, text, window)
-        .groupBy("id_", "tag_").agg(F.flatten(F.collect_list("places")).alias("places_"))
-    )
+    marks = repeated_windows(docs, id_column, text, window).withColumnsRenamed({"starts": "starts_", "ends": "ends_"})
     others = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")] if spaces else [id_column]
     named = docs.select(
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text_"),
@@ -267,9 +304,10 @@ def remove_repeats(
         *[F.col(f"`{c}`").alias(f"c{i}_") for i, c in enumerate(others)],
     ).withColumn("tag_", F.crc32("text_"))
     joined = named.join(marks, ["id_", "tag_"], "left").select(
-        "text_", F.coalesce("places_", F.array().cast("array<int>")).alias("places_"), *[f"c{i}_" for i in range(len(others))]
+        "text_", *[F.coalesce(c, F.array().cast("array<int>")).alias(c) for c in ("starts_", "ends_")],
+        *[f"c{i}_" for i in range(len(others))],
     )
     kinds = dict(docs.dtypes)
     schema = ", ".join([*(f"c{i}_ {kinds[c]}" for i, c in enumerate(others)), "n_words long, n_removed long, kept string"])
-    cut = in_arrow(joined, _cut(window, spaces), schema)
+    cut = in_arrow(joined, _cut(spaces), schema)
     return cut.select(*[F.col(f"c{i}_").alias(c) for i, c in enumerate(others)], "n_words", "n_removed", "kept")
