@@ -162,7 +162,7 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     checkpointed(spark.range(1))  # makes sure the folder is known
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
