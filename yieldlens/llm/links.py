@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from yieldlens.llm.common import checkpointed
 
 #: Rows up to which a side of known size is broadcast; beyond it the join shuffles both sides.
-BROADCAST_ROWS = 400_000
+BROADCAST_ROWS = 200_000
 #: Pairs across components that are compared at once, for each member row; above it another leader is tried first.
 PAIRS_PER_MEMBER = 4
 LEADERS = 6
@@ -35,18 +35,15 @@ def components(edges: DataFrame) -> DataFrame:
     found = None
     while not left.isEmpty():
         both = left.select("a", "b").union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = checkpointed(
-            both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("id"), F.least("a", "low").alias("root"))
-        )
-        while True:
+        up = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("id"), F.least("a", "low").alias("root"))
+        # follow two steps at once, and again until no pointer moves
+        moving = True
+        while moving:
+            up = checkpointed(up)
             onward = up.select(F.col("id").alias("root"), F.col("root").alias("next"))
-            jumped = checkpointed(
-                up.join(onward, "root", "left").select("id", "root", F.coalesce("next", "root").alias("next"))
-            )
-            moved = not jumped.where("root <> next").isEmpty()
+            jumped = checkpointed(up.join(onward, "root").select("id", "root", "next"))
+            moving = not jumped.where("root <> next").isEmpty()
             up = jumped.select("id", F.col("next").alias("root"))
-            if not moved:
-                break
         if found is None:
             found = up
         else:
@@ -67,10 +64,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 def shared_buckets(members: DataFrame) -> DataFrame:
     """Of ``key, id`` the rows whose key has two ids at least, without repeats. A key's rows are counted, never gathered."""
-    twice = checkpointed(
-        members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key")
-    )
-    return checkpointed(members.join(small(twice, twice.count()), "key", "left_semi").distinct())
+    twice = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    return members_of(members, twice.select("key"))
+
+
+def members_of(members: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows ``key, id`` of the given keys, without repeats."""
+    keys = checkpointed(keys)
+    return checkpointed(members.join(small(keys, keys.count()), "key", "left_semi").distinct())
 
 
 def link(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -256,8 +256,14 @@ def near_duplicates(
         return in_arrow(both, _similar(idf, threshold), "a long, b long").distinct()
 
     # a copy hangs on its text's node
-    linked = link(shared, similar).select(F.col("id").alias("a"), F.col("root").alias("b"))
-    classed = components(linked.union(member)).withColumnRenamed("root", "class_")
+    roots = link(shared, similar)
+    if member.groupBy("a").count().where("count > 1").isEmpty() and member.join(nodes, F.col("a") == F.col("id")).isEmpty():
+        onward = roots.select(F.col("id").alias("b"), "root")
+        copied = member.join(onward, "b", "left").select(F.col("a").alias("id"), F.coalesce("root", "b").alias("class_"))
+        classed = checkpointed(roots.select("id", F.col("root").alias("class_")).union(copied))
+    else:  # rows with an equal id and different texts tie classes together
+        linked = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
+        classed = components(linked.union(member)).withColumnRenamed("root", "class_")
     return (
         named.select("id").join(small(classed, classed.count()), "id", "left")
         .select(F.col("id").alias(id_column), F.coalesce("class_", "id").alias("class_id"))
