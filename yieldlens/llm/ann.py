@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from yieldlens.llm.blocks import against
-from yieldlens.llm.common import checkpointed, finite_vectors, in_arrow, vectors_of
+from yieldlens.llm.common import stored, finite_vectors, in_arrow, vectors_of
 from yieldlens.llm.topk import ranked
 
 #: Vectors the cells are learned from, at most. Every vector is indexed, whatever the sample.
@@ -245,7 +245,7 @@ def nearest(
     placed = in_arrow(there, place, placed_schema)
     started = in_arrow(asked, place, placed_schema).withColumn("bound", F.lit(float("inf")))
     run, schema, most = _search(k, m, seed, stop), "query_id long, id long, score double", max(1, len(trees)) * cells
-    first = checkpointed(against(started, placed, most, run, schema, ["dim"], block=cell_rows))
+    first = stored(against(started, placed, most, run, schema, ["dim"], block=cell_rows))
     if cells == 1:
         return _result(first, k, id_column)
     kth = ranked(first, k).where(F.col("rank") == k).select(

@@ -153,15 +153,17 @@ def finite_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    return cut_lineage(df)
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to the shared checkpoint folder and read again, where only some columns are read each time."""
+    """``df`` written as a Parquet table to the shared checkpoint folder and read again: its lineage ends there.
+
+    Unlike a checkpoint it also ends the size estimates. In loops of joins those of a
+    checkpoint go on as products of products, until the driver does nothing but multiply them.
+    """
     spark = df.sparkSession
-    checkpointed(spark.range(1))  # makes sure the folder is known
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        cut_lineage(spark.range(1))  # makes the folder known
+    path = f"{context.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from yieldlens.llm.common import checkpointed, held_out, in_arrow, pieces, text_buffer
+from yieldlens.llm.common import stored, held_out, in_arrow, pieces, text_buffer
 from yieldlens.llm.sampling import label_sample, with_text
 
 #: Rows the machines learn from, at most, shared evenly by the languages (20 of each at least).
@@ -146,7 +146,7 @@ def train(
     languages = learn.select(F.col(f"`{lang}`").alias("lang")).distinct().count()
     if not languages:
         return None
-    chosen = checkpointed(label_sample(learn, id_column, lang, max(20, sample // languages)))
+    chosen = stored(label_sample(learn, id_column, lang, max(20, sample // languages)))
 
     def run(batch: pa.RecordBatch):
         for first, last, x in features(batch.column(1)):

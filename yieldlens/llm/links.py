@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from yieldlens.llm.common import checkpointed
+from yieldlens.llm.common import stored
 
 #: Rows up to which a side of known size is broadcast; beyond it the join shuffles both sides.
 BROADCAST_ROWS = 200_000
@@ -28,7 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
     component at least halves in a round, so rounds grow with the logarithm of its size,
     and no task ever sees a whole component. Null ends and loops are dropped.
     """
-    left = checkpointed(
+    left = stored(
         edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
@@ -39,22 +39,22 @@ def components(edges: DataFrame) -> DataFrame:
         # follow two steps at once, and again until no pointer moves
         moving = True
         while moving:
-            up = checkpointed(up)
+            up = stored(up)
             onward = up.select(F.col("id").alias("root"), F.col("root").alias("next"))
-            jumped = checkpointed(up.join(onward, "root").select("id", "root", "next"))
+            jumped = stored(up.join(onward, "root").select("id", "root", "next"))
             moving = not jumped.where("root <> next").isEmpty()
             up = jumped.select("id", F.col("next").alias("root"))
         if found is None:
             found = up
         else:
             onward = up.select(F.col("id").alias("root"), F.col("root").alias("next"))
-            found = checkpointed(
+            found = stored(
                 found.join(onward, "root", "left").select("id", F.coalesce("next", "root").alias("root"))
             )
         ends = left.join(up.select(F.col("id").alias("a"), F.col("root").alias("x")), "a").join(
             up.select(F.col("id").alias("b"), F.col("root").alias("y")), "b"
         )
-        left = checkpointed(
+        left = stored(
             ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         )
     if found is None:
@@ -70,8 +70,8 @@ def shared_buckets(members: DataFrame) -> DataFrame:
 
 def members_of(members: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows ``key, id`` of the given keys, without repeats."""
-    keys = checkpointed(keys)
-    return checkpointed(members.join(small(keys, keys.count()), "key", "left_semi").distinct())
+    keys = stored(keys)
+    return stored(members.join(small(keys, keys.count()), "key", "left_semi").distinct())
 
 
 def link(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -88,7 +88,7 @@ def link(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataF
     roots = members.select("id", F.col("id").alias("root")).distinct()
     edges = None
     for turn in range(LEADERS + 1):
-        placed = checkpointed(members.join(roots, "id"))
+        placed = stored(members.join(roots, "id"))
         across = (
             placed.groupBy("key", "root").agg(F.count("*").alias("n"))
             .groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
@@ -109,10 +109,10 @@ def link(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataF
                 F.col("id").alias("a"), F.col("root").alias("x"), F.col("lead.id").alias("b"), F.col("lead.root").alias("y")
             ).where("x <> y")
             last = False
-        new = similar(checkpointed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
-        edges = checkpointed(new if edges is None else edges.union(new))
+        new = similar(stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
+        edges = stored(new if edges is None else edges.union(new))
         grouped = components(edges)
-        roots = checkpointed(
+        roots = stored(
             members.select("id").distinct().join(grouped, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
         )
         if last:

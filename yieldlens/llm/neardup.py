@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from yieldlens.llm.common import Words, checkpointed, importable, in_arrow, mix64, pieces, text_buffer
+from yieldlens.llm.common import Words, stored, importable, in_arrow, mix64, pieces, text_buffer
 from yieldlens.llm.links import components, link, shared_buckets, small
 
 SHINGLE = 5
@@ -238,17 +238,17 @@ def near_duplicates(
     importable(spark)
     named = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     idf = spark.sparkContext.broadcast(inverse_frequencies(*document_frequencies(named)))
-    signed = checkpointed(signatures(named, idf))
+    signed = stored(signatures(named, idf))
     worded = signed.where(F.col("id").isNotNull() & (F.size("keys") > 0))
-    copies = checkpointed(
+    copies = stored(
         worded.groupBy("digest").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("rep <> most").drop("most")
     )
     marked = worded.join(small(copies, copies.count()), "digest", "left")
-    member = checkpointed(marked.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
+    member = stored(marked.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
     nodes = marked.where("rep IS NULL OR id = rep").select("id", "keys")
     shared = shared_buckets(nodes.select(F.explode("keys").alias("key"), "id"))
-    sought = checkpointed(shared.select("id").distinct())
-    texts = checkpointed(named.join(small(sought, sought.count()), "id"))
+    sought = stored(shared.select("id").distinct())
+    texts = stored(named.join(small(sought, sought.count()), "id"))
 
     def similar(pairs: DataFrame) -> DataFrame:
         first = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
@@ -260,7 +260,7 @@ def near_duplicates(
     if member.groupBy("a").count().where("count > 1").isEmpty() and member.join(nodes, F.col("a") == F.col("id")).isEmpty():
         onward = roots.select(F.col("id").alias("b"), "root")
         copied = member.join(onward, "b", "left").select(F.col("a").alias("id"), F.coalesce("root", "b").alias("class_"))
-        classed = checkpointed(roots.select("id", F.col("root").alias("class_")).union(copied))
+        classed = stored(roots.select("id", F.col("root").alias("class_")).union(copied))
     else:  # rows with an equal id and different texts tie classes together
         linked = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
         classed = components(linked.union(member)).withColumnRenamed("root", "class_")

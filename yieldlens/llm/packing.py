@@ -12,7 +12,7 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame, Window, functions as F
 
-from yieldlens.llm.common import checkpointed, in_arrow, partitions, spread
+from yieldlens.llm.common import stored, in_arrow, partitions, spread
 
 CAPACITY = 2048
 END_ID = 1
@@ -109,7 +109,7 @@ def pack(
     spark = docs.sparkSession
     shares = partitions(spark)
     # written once: the deal into shares must be the same in both uses
-    cut = checkpointed(
+    cut = stored(
         pieces_of(docs, id_column, text, capacity, path, pattern).withColumn("share", spread(shares))
     )
     counts = cut.groupBy("length", "share").agg(F.count("*").alias("n"))

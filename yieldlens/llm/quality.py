@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from yieldlens.llm.common import Words, checkpointed, hash_ranges, held_out, in_arrow, pieces, text_buffer
+from yieldlens.llm.common import Words, stored, hash_ranges, held_out, in_arrow, pieces, text_buffer
 from yieldlens.llm.sampling import label_sample, with_text
 
 #: Documents the field learns from, at most: this many of each label.
@@ -224,7 +224,7 @@ def train(
 ) -> LineField | None:
     """Learn from at most ``sample`` whole documents of label 0 and of label 1, none of them held out; None without any."""
     learn = labels.where(~held_out(F.col(f"`{id_column}`")) & F.col(f"`{label}`").isin(0, 1))
-    chosen = checkpointed(label_sample(learn, id_column, label, sample))
+    chosen = stored(label_sample(learn, id_column, label, sample))
 
     def run(batch: pa.RecordBatch):
         data, at = text_buffer(batch.column(2))
