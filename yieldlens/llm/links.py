@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from yieldlens.llm.common import stored
+from yieldlens.llm.common import partitions, stored
 
 #: Rows up to which a side of known size is broadcast; beyond it the join shuffles both sides.
 BROADCAST_ROWS = 200_000
+#: Rows of two or three numbers up to which a round is one task without shuffles; beyond it rounds are distributed.
+ONE_TASK_ROWS = 200_000
 #: Pairs across components that are compared at once, for each member row; above it another leader is tried first.
 PAIRS_PER_MEMBER = 4
 LEADERS = 6
@@ -20,43 +22,50 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def _kept(df: DataFrame, one: bool) -> DataFrame:
+    """``df`` stored; as one partition if it was counted to be small, so that joins and sums need no shuffle."""
+    return stored(df.coalesce(1)).coalesce(1) if one else stored(df)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``id, root`` for every end of the edges ``a, b``: root is the smallest id its component holds.
 
     In each round every node points to its smallest neighbour if that is smaller than itself, pointers are
     followed to their ends, and each such tree becomes one node; edges inside it vanish. Every
-    component at least halves in a round, so rounds grow with the logarithm of its size,
-    and no task ever sees a whole component. Null ends and loops are dropped.
+    component at least halves in a round, so rounds grow with the logarithm of its size.
+    Few edges are one task's work; of more, no task ever sees a whole component. Null ends and loops are dropped.
     """
     left = stored(
         edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
+    rows = left.count()
+    one = rows <= ONE_TASK_ROWS
+    left = left.coalesce(1) if one else left
     found = None
-    while not left.isEmpty():
-        both = left.select("a", "b").union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("id"), F.least("a", "low").alias("root"))
+    while rows:
+        both = left.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+        up = both.groupBy("e.a").agg(F.min("e.b").alias("low")).select(F.col("a").alias("id"), F.least("a", "low").alias("root"))
         # follow two steps at once, and again until no pointer moves
         moving = True
         while moving:
-            up = stored(up)
+            up = _kept(up, one)
             onward = up.select(F.col("id").alias("root"), F.col("root").alias("next"))
-            jumped = stored(up.join(onward, "root").select("id", "root", "next"))
+            jumped = _kept(up.join(onward, "root").select("id", "root", "next"), one)
             moving = not jumped.where("root <> next").isEmpty()
             up = jumped.select("id", F.col("next").alias("root"))
         if found is None:
             found = up
         else:
             onward = up.select(F.col("id").alias("root"), F.col("root").alias("next"))
-            found = stored(
-                found.join(onward, "root", "left").select("id", F.coalesce("next", "root").alias("root"))
+            found = _kept(
+                found.join(onward, "root", "left").select("id", F.coalesce("next", "root").alias("root")), one
             )
         ends = left.join(up.select(F.col("id").alias("a"), F.col("root").alias("x")), "a").join(
             up.select(F.col("id").alias("b"), F.col("root").alias("y")), "b"
         )
-        left = stored(
-            ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        )
+        left = _kept(ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), one)
+        rows = left.count()
     if found is None:
         return left.select(F.col("a").alias("id"), F.col("b").alias("root"))
     return found
@@ -85,10 +94,12 @@ def link(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataF
     counted, not listed), all of them are compared, so no link between components is lost.
     """
     rows = members.count()
+    one = rows <= ONE_TASK_ROWS
+    members = members.coalesce(1) if one else members
     roots = members.select("id", F.col("id").alias("root")).distinct()
     edges = None
     for turn in range(LEADERS + 1):
-        placed = stored(members.join(roots, "id"))
+        placed = _kept(members.join(roots, "id"), one)
         across = (
             placed.groupBy("key", "root").agg(F.count("*").alias("n"))
             .groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
@@ -97,6 +108,8 @@ def link(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataF
         if not across:
             break
         if turn == LEADERS or (turn and across <= PAIRS_PER_MEMBER * rows):
+            many = across > PAIRS_PER_MEMBER * ONE_TASK_ROWS
+            placed, one = (placed.repartition("key"), False) if many else (placed, one)
             a = placed.select("key", F.col("id").alias("a"), F.col("root").alias("x"))
             b = placed.select("key", F.col("id").alias("b"), F.col("root").alias("y"))
             pairs, last = a.join(b, "key").where("x < y"), True
@@ -109,11 +122,14 @@ def link(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataF
                 F.col("id").alias("a"), F.col("root").alias("x"), F.col("lead.id").alias("b"), F.col("lead.root").alias("y")
             ).where("x <> y")
             last = False
-        new = similar(stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
+        pairs = _kept(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), one)
+        if one:  # the comparisons are work for all
+            pairs = pairs.repartition(partitions(members.sparkSession))
+        new = similar(pairs)
         edges = stored(new if edges is None else edges.union(new))
         grouped = components(edges)
-        roots = stored(
-            members.select("id").distinct().join(grouped, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+        roots = _kept(
+            members.select("id").distinct().join(grouped, "id", "left").select("id", F.coalesce("root", "id").alias("root")), one
         )
         if last:
             break
