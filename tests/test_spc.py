@@ -1,11 +1,38 @@
+import math
+from statistics import NormalDist
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from yieldlens.operators import ordered, spc
 
-DATA = [0.08, 0.12, 0.3, 0.15, 0.01, 0.04, 0.02, 0.06, 0.6, 0.56, 0.2, 0.13, 0.04, 0.06, 0.15, 0.4, 0.2, 0.1, 0.1, 0.05, 0.16, 0.02, 0.03, 0.015, 0.06]
-Q = [0, 0, 2.643283, -0.27512, -1.819762, -0.957465, -0.900057, -0.439243, 2.689252, 1.976469, -0.281365, -0.691351, -0.980425, -0.930406,
-     -0.231681, 1.407092, 0.274824, -0.510605, -0.67736, -1.002384, -0.086542, -0.986942, -0.655198, -0.776062, 0.089642]
+rng = np.random.default_rng(21)
+DATA = np.round(np.exp(rng.normal(-2.0, 0.9, 31)), 3).tolist()
+USL = float(np.sort(DATA)[-3])  # two values are above it
+
+
+def brute(x):
+    """Q values, moving-range mean and X-MR limit by their definitions, one row at a time."""
+    mean = lambda v: sum(v) / len(v)
+    trailing = lambda v, i: v[max(0, i - 4) : i + 1]
+    bars = [mean(trailing(x, i)) for i in range(len(x))]
+    s = [float(np.std(trailing(x, i))) for i in range(len(x))]
+    s_bars = [mean(trailing(s, i)) for i in range(len(x))]
+    q = []
+    for k in range(len(x)):
+        if k < 2 or s_bars[k] == 0:
+            q.append(0.0)
+            continue
+        t = (k / (k + 1)) ** 0.5 * (x[k] - bars[k - 1]) / s_bars[k]
+        # the tail of Student's t with 5 degrees by Simpson's rule, in u = 1 / (1 + t)
+        u = np.linspace(0, 1 / (1 + abs(t)), 20_001)[1:]
+        w = (1 - u) / u
+        density = 8 / (3 * math.pi * 5**0.5) * (1 + w * w / 5) ** -3 / u**2
+        tail = float(np.trapezoid(np.append(0.0, density), np.append(0.0, u)))
+        q.append(math.copysign(-NormalDist().inv_cdf(tail), t))
+    mr = mean([abs(b - a) for a, b in zip(x, x[1:])])
+    return q, mr, mean(x)
 
 
 def series(spark, values=DATA, key="A"):
@@ -17,21 +44,24 @@ def order():
 
 
 @pytest.mark.parametrize("limits", [{}, {"max_group_rows": 4, "block_rows": 9}])
-def test_worked_series(spark, limits):
-    rows = spc.spc_table(series(spark), ["line"], order(), "sheet", "data", usl=0.6, **limits).orderBy("ordinal").collect()
-    assert [r["Q-value"] for r in rows] == pytest.approx(Q, abs=2e-6)
+def test_against_definitions(spark, limits):
+    rows = spc.spc_table(series(spark), ["line"], order(), "sheet", "data", usl=USL, **limits).orderBy("ordinal").collect()
+    q, mr, mean = brute(DATA)
+    assert [r["Q-value"] for r in rows] == pytest.approx(q, abs=2e-6)
     flagged = lambda c: [r["ordinal"] for r in rows if r[c]]
-    assert flagged("Out of Q control limit") == [2, 8, 9]
-    assert flagged("Out of X-MR control limit") == [8, 9]
-    assert flagged("Out of X-MR spec line") == []
+    z = NormalDist().inv_cdf(0.975)
+    assert flagged("Out of Q control limit") == [i for i, v in enumerate(q) if v > z]
+    assert flagged("Out of X-MR control limit") == [i for i, v in enumerate(DATA) if v > mr + 3 * mr / 1.128]
+    assert flagged("Out of X-MR spec line") == [i for i, v in enumerate(DATA) if v > USL]
 
 
 def test_limits(spark):
+    _, mr, mean = brute(DATA)
     row = spc.xmr_limits(series(spark), ["line"], order(), "data").first()
-    assert (row.mr_bar, row.ucl, row.cl) == pytest.approx((0.11375, 0.4162765957, 0.1462))
+    assert (row.mr_bar, row.ucl, row.cl) == pytest.approx((mr, mr + 3 * mr / 1.128, mean))
     centred = spc.xmr_limits(series(spark), ["line"], order(), "data", center="mean").first()
-    assert centred.ucl == pytest.approx(0.1462 + 3 * 0.11375 / 1.128)
-    assert spc.q_limits()["UCL"] == pytest.approx(1.9599639845)
+    assert centred.ucl == pytest.approx(mean + 3 * mr / 1.128)
+    assert spc.q_limits()["UCL"] == pytest.approx(NormalDist().inv_cdf(0.975))
 
 
 def test_blocks_equal_one_long_window(spark):
@@ -67,7 +97,11 @@ def test_extreme_jump(spark):
 def test_chart_tables(spark):
     points, lines = spc.chart_tables(series(spark), ["line"], order(), "sheet", "data", usl=0.6)
     colours = {r.ordinal: (r.q_color, r.x_color) for r in points.collect()}
-    assert colours[2] == ("red", "black") and colours[8] == ("red", "red") and colours[3] == ("black", "black")
+    q, mr, _ = brute(DATA)
+    assert colours == {
+        i: ("red" if v > NormalDist().inv_cdf(0.975) else "black", "red" if x > mr + 3 * mr / 1.128 else "black")
+        for i, (v, x) in enumerate(zip(q, DATA))
+    }
     assert lines.first().x_usl == 0.6
 
 
