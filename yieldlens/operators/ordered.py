@@ -27,6 +27,8 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join that also matches null keys; the right side's keys are dropped."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    if not keys:  # the right side is a total, one row
+        renamed = F.broadcast(renamed)
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(f"`{k}`").eqNullSafe(F.col(f"`_right_{k}`"))
@@ -42,7 +44,8 @@ def _cold_and_hot(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> tu
         return df, None
     if not keys:
         return None, df
-    long_keys = cut_lineage(df.groupBy(*keys).count().where(F.col("count") > max_group_rows).select(*keys))
+    # a key is long only with max_group_rows rows, so there are few; broadcast, their rows stay where they are
+    long_keys = F.broadcast(cut_lineage(df.groupBy(*keys).count().where(F.col("count") > max_group_rows).select(*keys)))
     return join_on(df, long_keys, keys, "left_anti"), join_on(df, long_keys, keys, "left_semi")
 
 

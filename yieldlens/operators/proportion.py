@@ -116,11 +116,21 @@ def chi2_by_group(
     gap = F.when(F.col("children") == 2, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
     term = F.try_divide(gap * gap, n * F.col("pooled") * (1 - F.col("pooled")))
     tested = (F.col("children") > 1) & (F.col("_least") != 0)
-    rows = (
-        with_sums(rows.withColumn("_term", F.when(tested, term)), chi2=F.sum("_term"))
-        .withColumn("dof", F.when(tested, F.col("children") - 1))
-        .withColumn("p_value", F.when(tested, chi2_upper_tail(F.col("chi2"), F.col("dof"))))
+    rows = with_sums(rows.withColumn("_term", F.when(tested, term)), chi2=F.sum("_term")).withColumn(
+        "dof", F.when(tested, F.col("children") - 1)
     )
+    # the tail is a sum over the degrees of freedom: once a group, not once a child
+    tail = chi2_upper_tail(F.col("chi2"), F.col("dof"))
+    if joined:
+        tails = rows.groupBy(*groups).agg(F.max("chi2").alias("chi2"), F.max("dof").alias("dof")).select(
+            *groups, F.when(F.col("dof").isNotNull(), tail).alias("p_value")
+        )
+        rows = ordered.join_on(rows, tails, groups)
+    else:
+        whole = Window.partitionBy(*groups)
+        first = F.row_number().over(whole.orderBy(F.lit(0))) == 1
+        rows = rows.withColumn("_first", first).withColumn("_tail", F.when(F.col("_first") & tested, tail))
+        rows = rows.withColumn("p_value", F.max("_tail").over(whole)).drop("_first", "_tail")
     significant = F.coalesce(F.col("p_value") < alpha, F.lit(False))
     ratio = F.try_divide(o, n)
     return (

@@ -322,19 +322,25 @@ def match_rules(
 ) -> DataFrame:
     """For each rule (rule_id, items): rows that hold all its items, those with the positive label, NG_Ratio.
 
-    A row meets a rule only through the rule's first item, so no pair is written twice.
+    A row meets a rule only through the rule's rarest item, so no pair is written twice and an
+    item that most rows have draws none.
     Rules are broadcast when counted to be few; otherwise the join is salted, since one
     item may be in a third of all rows.
     """
     # counted and joined twice, so written once
     wanted = cut_lineage(rules.select("rule_id", F.array_sort(F.array_distinct("items")).alias("rule_items")))
-    anchored = wanted.withColumn("_anchor", F.element_at("rule_items", 1))
     # collapse on the arrays as they are; sorting and deduplicating them is left to the fewer rows
-    held = st.collapse(
+    held = cut_lineage(st.collapse(
         transactions.select(
             st.quoted(items).alias("row_items"), F.coalesce(st.quoted(y) == F.lit(positive), F.lit(False)).alias("_positive")
         )
+    ))
+    asked = wanted.select("rule_id", F.explode("rule_items").alias("_item"))
+    often = held.select(F.explode(F.array_distinct("row_items")).alias("_item")).groupBy("_item").agg(F.count("*").alias("_often"))
+    rarest = asked.join(often, "_item", "left").groupBy("rule_id").agg(
+        F.min(F.struct(F.coalesce("_often", F.lit(0)).alias("_often"), "_item")).alias("_least")
     )
+    anchored = cut_lineage(wanted.join(rarest, "rule_id").select("rule_id", "rule_items", F.col("_least._item").alias("_anchor")))
     rows = held.withColumn("_anchor", F.explode(F.array_distinct("row_items")))
     if wanted.limit(broadcast_rules + 1).count() <= broadcast_rules:
         joined = rows.join(F.broadcast(anchored), "_anchor")

@@ -22,12 +22,20 @@ def _first_lines(spark: SparkSession, path: str, n: int) -> list[list[str]]:
     return [next(csv.reader([line])) for line in lines]
 
 
-def _without(df: DataFrame, row: Sequence[str | None]) -> DataFrame:
-    """Drop rows equal to ``row`` in every column (header lines, one per file)."""
+def _without(df: DataFrame, row: Sequence[str | None], times: int = 1) -> DataFrame:
+    """Drop ``times`` rows equal to ``row`` in every column (header lines); further equal rows are data and stay."""
     same = F.lit(True)
     for c, v in zip(df.columns, row):
         same = same & st.quoted(c).eqNullSafe(F.lit(v or None))
-    return df.where(~same)
+    rest, more = df.where(~same), df.where(same).count() - times
+    if more <= 0:
+        return rest
+    again = df.sparkSession.range(more).select(*[F.lit(v or None).cast("string").alias(c) for c, v in zip(df.columns, row)])
+    return rest.union(again)
+
+
+def _files(spark: SparkSession, path: str) -> int:
+    return len(spark.read.text(path).inputFiles())
 
 
 def _strings(names: Sequence[str]) -> T.StructType:
@@ -35,10 +43,11 @@ def _strings(names: Sequence[str]) -> T.StructType:
 
 
 def read_promoted_header(spark: SparkSession, path: str) -> DataFrame:
-    """CSV whose first data row holds the column names; all columns are strings."""
+    """CSV whose first data row holds the column names; all columns are strings. Each file has both header lines."""
     outer, names = _first_lines(spark, path, 2)
     df = spark.read.schema(_strings(names)).csv(path, enforceSchema=True)
-    return _without(_without(df, outer), names)
+    files = _files(spark, path)
+    return _without(_without(df, outer, files), names, files)
 
 
 def promote_header(raw: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -63,7 +72,7 @@ def apply_type_header(df: DataFrame, words: Sequence[str]) -> DataFrame:
 
 
 def read_type_header(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a line of type words, then a line of names, then data."""
+    """CSV with a line of type words, then a line of names, then data; the two lines are there once."""
     words, names = _first_lines(spark, path, 2)
     df = spark.read.schema(_strings(names)).csv(path, enforceSchema=True)
     return apply_type_header(_without(_without(df, words), names), words)
