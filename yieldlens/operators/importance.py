@@ -249,6 +249,10 @@ def rank_features_forest(
     return _rank_table(df.sparkSession, "RF", names, model.featureImportances.toArray())
 
 
+# Fixed value: how the names of targets begin.
+TARGET_PREFIX = "Ylabel_"
+
+
 def select_factors(
     df: DataFrame,
     target: str,
@@ -259,9 +263,9 @@ def select_factors(
 ) -> tuple[DataFrame, DataFrame]:
     """(rank lists of lasso and forest, key factors). A single constant factor gives two empty tables.
 
-    ``key`` names the row key; it is not a factor.
+    ``key`` names the row key; it is not a factor, and neither are other targets (``Ylabel_`` columns).
     """
-    features = [c for c in df.columns if c != target and c not in (key or [])]
+    features = [c for c in df.columns if c != target and c not in (key or []) and not c.startswith(TARGET_PREFIX)]
     spark = df.sparkSession
     if len(features) == 1 and features[0] in co.constant_columns(df, features, nulls="value"):
         return (
@@ -271,3 +275,15 @@ def select_factors(
     lasso = rank_features_lasso(df, features, target, order, key)
     ranks = lasso.unionByName(rank_features_forest(df, features, target, task, **forest))
     return ranks, rk.combine_methods(ranks)
+
+
+def select_factors_each(df: DataFrame, targets: Sequence[str] | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """``select_factors`` for each target (default: all ``Ylabel_`` columns), with the target's name in column ``target``."""
+    targets = list(targets if targets is not None else [c for c in df.columns if c.startswith(TARGET_PREFIX)])
+    if not targets:
+        raise ValueError("there is no target")
+    ranks, factors = None, None
+    for t in targets:
+        found = [part.withColumn("target", F.lit(t)) for part in select_factors(df.drop(*[o for o in targets if o != t]), t, **options)]
+        ranks, factors = found if ranks is None else (ranks.unionByName(found[0]), factors.unionByName(found[1]))
+    return ranks, factors

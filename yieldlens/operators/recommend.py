@@ -62,6 +62,9 @@ def search(
     check_bounds(features, controls, bounds, None, restarts=restarts, candidates=candidates, rounds=rounds)
     free = [c for c in features if c not in controls]
     means = history_means(history, free)
+    empty = [c for c in free if means[c] is None]
+    if empty:
+        raise ValueError(f"the history of {empty} has no value")
     lower, upper = bounds
 
     goals = F.array(*[st.quoted(t).cast("double") for t in target_names])
@@ -91,7 +94,7 @@ def search(
         miss = sum((_relative(st.quoted(f"prediction_{t}"), F.col("goals")[i]) for i, t in enumerate(target_names)), F.lit(0.0))
         drift = sum((_relative(F.col("x")[features.index(c)], F.lit(means[c])) for c in free), F.lit(0.0))
         cost = TARGET_SHARE * miss / len(target_names) + (HISTORY_SHARE * drift / len(free) if free else F.lit(0.0))
-        best = F.min(F.struct(cost.alias("cost"), "candidate", "x", "goals"))
+        best = F.min(F.struct(cost.isNull().alias("none"), cost.alias("cost"), "candidate", "x", "goals"))
         state = cut_lineage(
             scored.groupBy("target_id", "restart").agg(best.alias("best")).select("target_id", "restart", "best.cost", "best.x", "best.goals")
         )
@@ -117,7 +120,8 @@ def recommend_values(
 ) -> DataFrame:
     """target_id, feature, Recommendation (and self_controled with ``all_parameters``): the best restart."""
     found = search(model, scaler, features, controls, bounds, targets, target_names, history, **{"restarts": 1, **effort})
-    best = found.groupBy("target_id").agg(F.min(F.struct("cost", "restart", "x")).alias("best")).select("target_id", "best.*")
+    best = found.groupBy("target_id").agg(F.min(F.struct(F.col("cost").isNull().alias("none"), "cost", "restart", "x")).alias("best"))
+    best = best.select("target_id", "best.restart", "best.cost", "best.x")
     cells = _long(best, list(features), controls, all_parameters)
     flag = ["self_controled"] if all_parameters else []
     return cells.select("target_id", "feature", F.col("value").alias("Recommendation"), *flag, "cost")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from yieldlens.operators import columns as co, rows as ro, statistics as st, values as va
 from yieldlens.operators.guards import InputError, check_xy_inputs
+from yieldlens.session import cut_lineage
 
 # Column names and codes of the inspection export.
 SHEET, TIME, MODEL = "sheet_id", "檢查日時", "model_no"
@@ -84,7 +85,7 @@ def prepare_xy(
 ) -> tuple[DataFrame, DataFrame]:
     """(X, Y) ready for modelling: join, sparse columns out, means in, numeric only, tails set, constants out.
 
-    The joined table is persisted because four statistics passes read it.
+    The joined table is checkpointed because four statistics passes read it.
     """
     check_xy_inputs(x, inspection)
     y = measure_targets(inspection, target)
@@ -96,7 +97,7 @@ def prepare_xy(
 def finish_xy(
     joined: DataFrame, targets: Sequence[str], max_null_ratio: float = 0.75, low: float = 0.025, high: float = 0.975
 ) -> tuple[DataFrame, DataFrame]:
-    joined = joined.persist()
+    joined = cut_lineage(joined)
     if joined.isEmpty():
         raise InputError("no sheet is in both tables")
     df = co.select_by_type(co.drop_null_columns(joined, max_null_ratio), "numerical")

@@ -40,11 +40,14 @@ def _(spark, sf_dir):
     return tables.read_table(spark, folder, "csv", schema=df.schema)
 
 
-@query("read_dir")
+@query("read_dir", "SELECT count(*) AS n, CAST(sum(p_size) AS BIGINT) AS size FROM part GROUP BY p_partkey % 3")
 def _(spark, sf_dir):
-    return tables.read_dir(spark, f"{sf_dir}/lineitem.parquet", "parquet").groupBy("file").agg(
-        F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity")
-    )
+    """A folder of three CSV files, each counted by its name."""
+    folder = scratch_folder(spark)
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", (F.col("p_partkey") % 3).alias("third"))
+    tables.write_table(parts.repartition("third"), folder, "csv", partition_by="third")
+    files = tables.read_dir(spark, folder, "csv")
+    return files.groupBy("file").agg(F.count("*").alias("n"), F.sum("p_size").cast("long").alias("size")).select("n", "size")
 
 
 @query("promote_header", "SELECT CAST(p_partkey AS STRING) AS p_partkey, p_name, p_brand FROM part")

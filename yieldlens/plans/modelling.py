@@ -135,6 +135,13 @@ def _(spark, sf_dir):
     return im.select_factors(df, "Y", key=FACTOR_KEY, trees=20, max_depth=6)[1]
 
 
+@query("select_factors_targets")
+def _(spark, sf_dir):
+    """Two targets, as a regression; no target is a factor of another."""
+    df = _factors(spark, sf_dir, LOSS).withColumn("Ylabel_tool", F.when(F.col("tool") == F.col("station"), 1.0).otherwise(0.0))
+    return im.select_factors_each(df, key=FACTOR_KEY, task="regression", trees=20, max_depth=6)[1]
+
+
 # ---- model comparison and choice
 
 SMALL = {"rounds": 5, "trees": 10, "depth": 4, "iterations": 15}
@@ -165,7 +172,7 @@ def _(spark, sf_dir):
     return cm.compare_regressors(df, **SMALL).table
 
 
-EMBEDDED = [f"x{i}" for i in range(8)]
+EMBEDDED = [f"x{i}" for i in range(64)]
 LIGHT = {
     "Random Forest": {"trees": 5, "depth": 4}, "Lasso Regression": {"alpha": 0.01}, "XGBoost": {"trees": 3, "depth": 3},
     "LightGBM": {"trees": 3, "depth": 3},

@@ -247,20 +247,19 @@ SUPPORT, CONFIDENCE, LIFT = 0.02, 0.05, 1.000001
 
 
 def _sets_sql() -> str:
-    """Item sets of up to three columns with counts per class."""
-    words = {c: f"concat('{c}=', coalesce(CAST({c} AS STRING), 'nan'))" for c in ITEMS}
-    parts = []
-    for size in (1, 2, 3):
-        for combo in itertools.combinations(ITEMS, size):
-            keys = ", ".join(words[c] for c in combo)
-            parts.append(
-                f"SELECT list_sort([{keys}]) AS items, {size} AS size, count(*) AS n_all, count(*) FILTER (WHERE Y = 0) AS n_0, "
-                f"count(*) FILTER (WHERE Y = 1) AS n_1 FROM {TRANSACTIONS_SQL} GROUP BY {', '.join(combo)}"
-            )
+    """Item sets of up to three columns with counts per class, from one pass over the transactions."""
+    words = ", ".join(f"concat('{c}=', coalesce(CAST({c} AS STRING), 'nan')) AS w{i}" for i, c in enumerate(ITEMS))
+    names = [f"w{i}" for i in range(len(ITEMS))]
+    sets = ", ".join(f"({', '.join(combo)})" for size in (1, 2, 3) for combo in itertools.combinations(names, size))
     return (
-        f"c AS ({' UNION ALL '.join(parts)}), w AS (SELECT count(*) FILTER (WHERE Y = 0) AS rows_0, count(*) FILTER (WHERE Y = 1) AS rows_1 FROM {TRANSACTIONS_SQL}), "
-        "s AS (SELECT * FROM (SELECT items, size, n_all, n_1, 0 AS \"Y\", n_0 AS n, n_0 / rows_0 AS support FROM c, w UNION ALL "
-        f"SELECT items, size, n_all, n_1, 1, n_1, n_1 / rows_1 FROM c, w) WHERE support >= {SUPPORT})"
+        f"t AS MATERIALIZED (SELECT Y, {words} FROM {TRANSACTIONS_SQL}), "
+        f"c AS MATERIALIZED (SELECT list_sort(list_filter([{', '.join(names)}], lambda x: x IS NOT NULL)) AS items, count(*) AS n_all, "
+        "count(*) FILTER (WHERE Y = 0) AS n_0, count(*) FILTER (WHERE Y = 1) AS n_1 "
+        f"FROM t GROUP BY GROUPING SETS ({sets})), "
+        "w AS MATERIALIZED (SELECT count(*) FILTER (WHERE Y = 0) AS rows_0, count(*) FILTER (WHERE Y = 1) AS rows_1 FROM t), "
+        "s AS MATERIALIZED (SELECT *, CAST(len(items) AS INTEGER) AS size, array_to_string(items, ',') AS name FROM "
+        "(SELECT items, n_all, n_1, 0 AS \"Y\", n_0 AS n, n_0 / rows_0 AS support FROM c, w UNION ALL "
+        f"SELECT items, n_all, n_1, 1, n_1, n_1 / rows_1 FROM c, w) WHERE support >= {SUPPORT})"
     )
 
 
@@ -272,11 +271,12 @@ def _(spark, sf_dir):
 
 def _rules_sql(largest_addition: int = 2) -> str:
     return (
-        f"{_sets_sql()}, splits AS (SELECT *, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS base, "
+        f"{_sets_sql()}, splits AS MATERIALIZED (SELECT *, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS base, "
         "list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 0) AS addition FROM (SELECT *, unnest(range(1, CAST(power(2, size) AS INT) - 1)) AS mask "
         "FROM s WHERE size > 1 AND len(list_filter(items, lambda x: ends_with(x, '=0'))) = 0)), "
         "rules AS (SELECT p.*, p.support / b.support AS confidence, p.support / b.support / a.support AS lift FROM splits p "
-        "JOIN s b ON b.\"Y\" = p.\"Y\" AND b.items = p.base JOIN s a ON a.\"Y\" = p.\"Y\" AND a.items = p.addition "
+        "JOIN s b ON b.\"Y\" = p.\"Y\" AND b.name = array_to_string(p.base, ',') "
+        "JOIN s a ON a.\"Y\" = p.\"Y\" AND a.name = array_to_string(p.addition, ',') "
         f"WHERE len(addition) <= {largest_addition} AND p.support / b.support >= {CONFIDENCE} AND p.support / b.support / a.support >= {LIFT})"
     )
 
