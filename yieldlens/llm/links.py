@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from yieldlens.llm.common import partitions, stored
 
@@ -83,54 +83,69 @@ def members_of(members: DataFrame, keys: DataFrame) -> DataFrame:
     return stored(members.join(small(keys, keys.count()), "key", "left_semi").distinct())
 
 
-def link(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link(
+    members: DataFrame, similar: Callable[[DataFrame], DataFrame], traits: DataFrame | None = None,
+    near: Callable[[str, str], Column] | None = None,
+) -> DataFrame:
     """``id, root`` of the linked ids: components over all similar pairs that share a bucket.
 
     ``members`` are ``key, id`` from ``shared_buckets``; ``similar`` keeps the similar ones of pairs
-    ``a, b``. Comparing all pairs of a bucket of near copies would be quadratic, and most of
+    ``a, b``. ``traits`` are numbers of the ids; ``near("a_", "b_")`` is a condition on the
+    traits of both sides, under which a pair is compared at all. It is part of the joins, so other pairs are not written.
+
+    Comparing all pairs of a bucket of near copies would be quadratic, and most of
     them say nothing new. So first each bucket's members are compared with one leader,
     a different one in each turn; what is similar becomes one component. Pairs within a
-    component need no comparison. When few pairs across components are left (they are
-    counted, not listed), all of them are compared, so no link between components is lost.
+    component need no comparison, and buckets of one component are done. When few pairs across components
+    are left (they are counted, not listed), all of them are compared, so no link between components is lost.
     """
     rows = members.count()
     one = rows <= ONE_TASK_ROWS
     members = members.coalesce(1) if one else members
-    roots = members.select("id", F.col("id").alias("root")).distinct()
+    # who meets most others in its buckets stands most likely in the middle of its copies
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    met = members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("met"))
+    roots = _kept(members.select("id", F.col("id").alias("root")).distinct(), one)
+    ids = roots.select("id")
+    with_traits = members.select("key", "id").join(met, "id")
+    names = [c for c in traits.columns if c != "id"] if traits is not None else []
+    members = _kept(with_traits.join(traits, "id") if names else with_traits, one)
+
+    def side(df: DataFrame, name: str, root: str) -> DataFrame:
+        return df.select("key", F.col("id").alias(name), F.col("root").alias(root), *[F.col(t).alias(f"{name}_{t}") for t in names])
+
+    apart = F.col("x") != F.col("y")
+    close = near("a_", "b_") if near is not None else F.lit(True)
     edges = None
     for turn in range(LEADERS + 1):
         placed = _kept(members.join(roots, "id"), one)
-        across = (
+        left = (
             placed.groupBy("key", "root").agg(F.count("*").alias("n"))
             .groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
-            .agg(F.sum("pairs")).first()[0]
         )
+        left = _kept(left.where("pairs > 0"), one)
+        across = left.agg(F.sum("pairs")).first()[0]
         if not across:
             break
-        if turn == LEADERS or (turn and across <= PAIRS_PER_MEMBER * rows):
-            many = across > PAIRS_PER_MEMBER * ONE_TASK_ROWS
-            placed, one = (placed.repartition("key"), False) if many else (placed, one)
-            a = placed.select("key", F.col("id").alias("a"), F.col("root").alias("x"))
-            b = placed.select("key", F.col("id").alias("b"), F.col("root").alias("y"))
-            pairs, last = a.join(b, "key").where("x < y"), True
+        placed = _kept(placed.join(left.select("key"), "key", "left_semi"), one)
+        members = placed.drop("root")
+        last = turn == LEADERS or (turn > 0 and across <= PAIRS_PER_MEMBER * rows)
+        if last:
+            if across > PAIRS_PER_MEMBER * ONE_TASK_ROWS:
+                placed, one = placed.repartition("key"), False
+            pairs = side(placed, "a", "x").join(side(placed, "b", "y"), "key").where((F.col("x") < F.col("y")) & close)
         else:
-            # the lowest scrambled id leads; it is counted with the aggregate, not sorted
-            lead = placed.groupBy("key").agg(
-                F.min_by(F.struct("id", "root"), F.xxhash64("id", F.lit(turn))).alias("lead")
-            )
-            pairs = placed.join(lead, "key").select(
-                F.col("id").alias("a"), F.col("root").alias("x"), F.col("lead.id").alias("b"), F.col("lead.root").alias("y")
-            ).where("x <> y")
-            last = False
+            # first whoever meets most others leads, then the lowest scrambled id
+            rank = F.xxhash64("id", F.lit(turn)) if turn else F.struct(-F.col("met"), "id")
+            lead = placed.groupBy("key").agg(F.min_by(F.struct("id", "root", *names), rank).alias("lead")).select("key", "lead.*")
+            pairs = side(placed, "a", "x").join(side(lead, "b", "y"), "key").where(apart & close)
         pairs = _kept(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), one)
         if one:  # the comparisons are work for all
             pairs = pairs.repartition(partitions(members.sparkSession))
         new = similar(pairs)
         edges = stored(new if edges is None else edges.union(new))
         grouped = components(edges)
-        roots = _kept(
-            members.select("id").distinct().join(grouped, "id", "left").select("id", F.coalesce("root", "id").alias("root")), one
-        )
+        roots = _kept(ids.join(grouped, "id", "left").select("id", F.coalesce("root", "id").alias("root")), one)
         if last:
             break
     return roots.where("id <> root")

@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from yieldlens.llm.common import Words, stored, importable, in_arrow, mix64, pieces, text_buffer
 from yieldlens.llm.links import components, link, shared_buckets, small
@@ -15,6 +15,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: With 16 bands of 4 samples a pair of similarity 0.8 is missed with probability 0.0002.
 BANDS, ROWS = 16, 4
+#: Of each sample four bits are kept. Texts are compared if this many samples of 64 agree in them: 52 are
+#: expected at similarity 0.8, and fewer than 41 come with probability 0.0003.
+AGREEING = 41
+PLANES = 4
 #: Words are counted in this many hashed places, so the table of document frequencies has a fixed size.
 PLACES = 1 << 20
 _CHUNK = 1 << 14
@@ -171,7 +175,10 @@ def _band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """``id, digest, keys``: a digest of the text and the keys of its bands (none for a text without words)."""
+    """``id, digest, keys, p0 ...``: a digest of the text, the keys of its bands (none without words), bits of its samples.
+
+    Bit s of ``p0`` is the lowest bit of sample s, and so on.
+    """
 
     def run(batch: pa.RecordBatch):
         sampler = WeightedSampler(BANDS * ROWS)
@@ -179,7 +186,13 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
         for first, last in pieces(at, 1 << 20):
             own, places = data[at[first] : at[last]], at[first : last + 1] - at[first]
             shingles = Shingles(own, places, idf.value)
-            keys = _band_keys(sampler.sample(shingles.hash, shingles.weight, shingles.bounds)).view(np.int64)
+            samples = sampler.sample(shingles.hash, shingles.weight, shingles.bounds)
+            keys = _band_keys(samples).view(np.int64)
+            mixed = mix64(samples)
+            planes = [
+                np.packbits(((mixed >> np.uint64(p)) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64).ravel()
+                for p in range(PLANES)
+            ]
             some = np.diff(shingles.bounds) > 0
             offsets = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
             raw = own.tobytes()
@@ -187,12 +200,21 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(first, last - first), pa.array(digests, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[some].ravel())),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[some].ravel())), *map(pa.array, planes),
                 ],
-                names=["id", "digest", "keys"],
+                names=["id", "digest", "keys", *(f"p{p}" for p in range(PLANES))],
             )
 
-    return in_arrow(docs.select("id", "text"), run, "id long, digest binary, keys array<long>")
+    bits = ", ".join(f"p{p} long" for p in range(PLANES))
+    return in_arrow(docs.select("id", "text"), run, f"id long, digest binary, keys array<long>, {bits}")
+
+
+def _agree(a: str, b: str) -> Column:
+    """Whether enough samples agree in all their kept bits."""
+    differ = F.col(f"{a}p0").bitwiseXOR(F.col(f"{b}p0"))
+    for p in range(1, PLANES):
+        differ = differ.bitwiseOR(F.col(f"{a}p{p}").bitwiseXOR(F.col(f"{b}p{p}")))
+    return BANDS * ROWS - F.bit_count(differ) >= AGREEING
 
 
 def _similar(idf, threshold: float):
@@ -227,7 +249,7 @@ def near_duplicates(
     components. A document stays if its id is its class id.
 
     Words are ``[^\\x20\\x09-\\x0D]+``. Document frequencies of all words go to a table of fixed size. Each text
-    gives 64 weighted samples in 16 bands. Equal texts are one node, their smallest id; texts that share
+    gives 64 weighted samples in 16 bands; pairs of a band are compared if ``AGREEING`` samples agree. Equal texts are one node, their smallest id; texts that share
     a band are linked as in ``links.link``, verified on the texts themselves.
 
     A null or wordless text is in a class of its own unless ids repeat. Rows with an equal id are one
@@ -245,10 +267,13 @@ def near_duplicates(
     )
     marked = worded.join(small(copies, copies.count()), "digest", "left")
     member = stored(marked.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
-    nodes = marked.where("rep IS NULL OR id = rep").select("id", "keys")
+    bits = [f"p{p}" for p in range(PLANES)]
+    nodes = marked.where("rep IS NULL OR id = rep").select("id", "keys", *bits)
     shared = shared_buckets(nodes.select(F.explode("keys").alias("key"), "id"))
     sought = stored(shared.select("id").distinct())
-    texts = stored(named.join(small(sought, sought.count()), "id"))
+    sought = small(sought, sought.count())
+    texts = stored(named.join(sought, "id"))
+    traits = stored(nodes.join(sought, "id").select("id", *bits).distinct())
 
     def similar(pairs: DataFrame) -> DataFrame:
         first = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
@@ -256,7 +281,7 @@ def near_duplicates(
         return in_arrow(both, _similar(idf, threshold), "a long, b long").distinct()
 
     # a copy hangs on its text's node
-    roots = link(shared, similar)
+    roots = link(shared, similar, traits, _agree)
     if member.groupBy("a").count().where("count > 1").isEmpty() and member.join(nodes, F.col("a") == F.col("id")).isEmpty():
         onward = roots.select(F.col("id").alias("b"), "root")
         copied = member.join(onward, "b", "left").select(F.col("a").alias("id"), F.coalesce("root", "b").alias("class_"))
