@@ -47,7 +47,8 @@ def _(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", (F.col("p_partkey") % 3).alias("third"))
     tables.write_table(parts.repartition("third"), folder, "csv", partition_by="third")
     files = tables.read_dir(spark, folder, "csv")
-    return files.groupBy("file").agg(F.count("*").alias("n"), F.sum("p_size").cast("long").alias("size")).select("n", "size")
+    # files of different folders may share a name
+    return files.groupBy("third", "file").agg(F.count("*").alias("n"), F.sum("p_size").cast("long").alias("size")).select("n", "size")
 
 
 @query("promote_header", "SELECT CAST(p_partkey AS STRING) AS p_partkey, p_name, p_brand FROM part")

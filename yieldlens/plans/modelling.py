@@ -138,7 +138,7 @@ def _(spark, sf_dir):
 @query("select_factors_targets")
 def _(spark, sf_dir):
     """Two targets, as a regression; no target is a factor of another."""
-    df = _factors(spark, sf_dir, LOSS).withColumn("Ylabel_tool", F.when(F.col("tool") == F.col("station"), 1.0).otherwise(0.0))
+    df = _factors(spark, sf_dir, LOSS).withColumn("Ylabel_tool", F.when(F.col("tool") == "T3", 1.0).otherwise(0.0))
     return im.select_factors_each(df, key=FACTOR_KEY, task="regression", trees=20, max_depth=6)[1]
 
 
