@@ -106,7 +106,6 @@ def link(
     sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     met = members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("met"))
     roots = _kept(members.select("id", F.col("id").alias("root")).distinct(), one)
-    ids = roots.select("id")
     with_traits = members.select("key", "id").join(met, "id")
     names = [c for c in traits.columns if c != "id"] if traits is not None else []
     members = _kept(with_traits.join(traits, "id") if names else with_traits, one)
@@ -116,7 +115,6 @@ def link(
 
     apart = F.col("x") != F.col("y")
     close = near("a_", "b_") if near is not None else F.lit(True)
-    edges = None
     for turn in range(LEADERS + 1):
         placed = _kept(members.join(roots, "id"), one)
         left = (
@@ -142,10 +140,12 @@ def link(
         pairs = _kept(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), one)
         if one:  # the comparisons are work for all
             pairs = pairs.repartition(partitions(members.sparkSession))
-        new = similar(pairs)
-        edges = stored(new if edges is None else edges.union(new))
-        grouped = components(edges)
-        roots = _kept(ids.join(grouped, "id", "left").select("id", F.coalesce("root", "id").alias("root")), one)
+        # new links tie the components found so far, so only their roots are edges
+        new = similar(pairs).join(roots.select(F.col("id").alias("a"), F.col("root").alias("x")), "a")
+        new = new.join(roots.select(F.col("id").alias("b"), F.col("root").alias("y")), "b")
+        grouped = components(new.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        onward = grouped.select(F.col("id").alias("root"), F.col("root").alias("next"))
+        roots = _kept(roots.join(onward, "root", "left").select("id", F.coalesce("next", "root").alias("root")), one)
         if last:
             break
     return roots.where("id <> root")
