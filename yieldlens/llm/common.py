@@ -165,7 +165,16 @@ def stored(df: DataFrame) -> DataFrame:
         cut_lineage(spark.range(1))  # makes the folder known
     path = f"{context.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.stored_at = path
+    return made
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``stored`` made and that nothing reads any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def importable(spark: SparkSession) -> None:

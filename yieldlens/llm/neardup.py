@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from yieldlens.llm.common import Words, stored, importable, in_arrow, mix64, pieces, text_buffer
+from yieldlens.llm.common import Words, discard, stored, importable, in_arrow, mix64, pieces, text_buffer
 from yieldlens.llm.links import components, link, shared_buckets, small
 
 SHINGLE = 5
@@ -289,6 +289,7 @@ def near_duplicates(
     else:  # rows with an equal id and different texts tie classes together
         linked = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
         classed = components(linked.union(member)).withColumnRenamed("root", "class_")
+    discard(texts)
     return (
         named.select("id").join(small(classed, classed.count()), "id", "left")
         .select(F.col("id").alias(id_column), F.coalesce("class_", "id").alias("class_id"))
