@@ -77,3 +77,11 @@ def test_short_capacity_and_hot_length(spark, tokenizer):
 
 def test_empty(spark):
     assert pack(documents(spark, [])).count() == 0
+
+
+def test_added_tokens_have_their_ids(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "<|endoftext", " <|endoftext|>\n\n x", "é<|endoftext|>日 <|END|>"]
+    rows = list(enumerate(texts))
+    assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids
+    check(rows, pack(documents(spark, rows)).collect(), plain)

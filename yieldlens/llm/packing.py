@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import zlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ CAPACITY = 2048
 END_ID = 1
 #: The vocabulary of byte_bpe_50k.json as ranks: the same ids, encoded several times faster.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Its added tokens, which the rank file doesn't hold, are read from here.
+DEFINITION = "byte_bpe_50k.json"
 
 
 class Slots:
@@ -50,30 +54,43 @@ class Slots:
                 rank, left = rank + taken, left - taken
 
 
-_ENCODINGS: dict[tuple[str, str], tiktoken.Encoding] = {}
+_ENCODINGS: dict[tuple, tiktoken.Encoding] = {}
 
 
-def encoding(path: str, pattern: str) -> tiktoken.Encoding:
-    key = (path, pattern)
+def added_tokens(path: str) -> dict[str, int]:
+    """Strings that are one token wherever a text holds them, and their ids."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    odd = [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+    if odd:
+        raise ValueError(f"added tokens {odd} aren't plain strings")
+    return {t["content"]: t["id"] for t in added}
+
+
+def encoding(path: str, pattern: str, added: dict[str, int]) -> tiktoken.Encoding:
+    key = (path, pattern, *sorted(added.items()))
     if key not in _ENCODINGS:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
-        _ENCODINGS[key] = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _ENCODINGS[key] = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
     return _ENCODINGS[key]
 
 
 def pieces_of(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-    path: str | None = None, pattern: str | None = None,
+    path: str | None = None, pattern: str | None = None, added: dict[str, int] | None = None,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, copy``: each document's ids, closed by id 1, cut at every ``capacity``.
 
-    ``copy`` tells rows with equal ids apart.
+    ``copy`` tells rows with equal ids apart. ``added`` are the strings with an id of their own, those of
+    ``DEFINITION`` by default (none for another ``path``).
     """
+    if added is None:
+        added = {} if path else added_tokens(public_tokenizers.path(DEFINITION))
     path, pattern = path or public_tokenizers.path(VOCABULARY), pattern or public_tokenizers.PATTERN
 
     def run(batch: pa.RecordBatch):
-        encode = encoding(path, pattern).encode_ordinary
+        encode = partial(encoding(path, pattern, added).encode, allowed_special=set(added), disallowed_special=())
         out: list[tuple[int, int, int, int, int]] = []
         for i, t in enumerate(batch.column(1)):
             ids = np.array([*encode(t.as_py() or ""), END_ID], dtype="<u4")
@@ -92,11 +109,12 @@ def pieces_of(
 
 def pack(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-    path: str | None = None, pattern: str | None = None,
+    path: str | None = None, pattern: str | None = None, added: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
-    A document's ids (null text: none) end with id 1. They are cut at each ``capacity`` ids, so a
+    A document's ids (null text: none) are those of the tokenizers library on ``DEFINITION`` without special tokens
+    around a text; a text that holds an added token has its id. They end with id 1. They are cut at each ``capacity`` ids, so a
     document has full pieces, which are sequences of their own, and one shorter rest. The rests'
     histogram, at most ``capacity - 1`` numbers, is packed on the driver; its runs of ranks
     are broadcast and give each rest a sequence and an offset by its rank among the rests of
@@ -110,7 +128,7 @@ def pack(
     shares = partitions(spark)
     # written once: the deal into shares must be the same in both uses
     cut = stored(
-        pieces_of(docs, id_column, text, capacity, path, pattern).withColumn("share", spread(shares))
+        pieces_of(docs, id_column, text, capacity, path, pattern, added).withColumn("share", spread(shares))
     )
     counts = cut.groupBy("length", "share").agg(F.count("*").alias("n"))
     # ranks of a share's rows of a length follow those of the shares before it; the table of
