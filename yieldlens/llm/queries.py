@@ -95,7 +95,7 @@ FROM listed l LEFT JOIN kept k USING (doc_id)
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without lines that are equal or similar to an earlier one."""
-    found = lines.dedupe_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = lines.dedupe_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), wide=True)
     return found.select("doc_id", "n_lines", "n_removed", "text")
 
 
