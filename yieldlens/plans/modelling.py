@@ -107,7 +107,7 @@ def _(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem").selectExpr(
         "l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice", "l_quantity * 2 + l_discount AS energy"
     )
-    return im.rank_features_rf(df, ["l_quantity", "l_discount", "l_tax", "l_linenumber"], ["l_extendedprice", "energy"], trees=16, max_depth=6)
+    return im.rank_features_rf(df, ["l_quantity", "l_discount", "l_tax", "l_linenumber"], ["l_extendedprice", "energy"])
 
 
 @query("rank_features_lasso")
@@ -126,27 +126,24 @@ def _(spark, sf_dir):
 @query("rank_features_forest")
 def _(spark, sf_dir):
     df = _factors(spark, sf_dir, NG)
-    return im.rank_features_forest(df, ["p_type", "l_linestatus", "tool", "station"], "Y", trees=20, max_depth=6)
+    return im.rank_features_forest(df, ["p_type", "l_linestatus", "tool", "station"], "Y")
 
 
 @query("select_factors")
 def _(spark, sf_dir):
     df = _factors(spark, sf_dir, NG)
-    return im.select_factors(df, "Y", key=FACTOR_KEY, trees=20, max_depth=6)[1]
+    return im.select_factors(df, "Y", key=FACTOR_KEY)[1]
 
 
 @query("select_factors_targets")
 def _(spark, sf_dir):
     """Two targets, as a regression; no target is a factor of another."""
     df = _factors(spark, sf_dir, LOSS).withColumn("Ylabel_tool", F.when(F.col("tool") == "T3", 1.0).otherwise(0.0))
-    return im.select_factors_each(df, key=FACTOR_KEY, task="regression", trees=20, max_depth=6)[1]
+    return im.select_factors_each(df, key=FACTOR_KEY, task="regression")[1]
 
 
 # ---- model comparison and choice
 
-SMALL = {"rounds": 5, "trees": 10, "depth": 4, "iterations": 15}
-
-
 def _measures(spark, sf_dir, *targets: str):
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_quantity / 50 AS quantity", "l_discount * 10 AS discount", "l_tax * 10 AS tax", "l_linenumber / 7 AS station",
@@ -157,26 +154,22 @@ def _measures(spark, sf_dir, *targets: str):
 @query("compare_classifiers")
 def _(spark, sf_dir):
     df = _measures(spark, sf_dir, "CASE WHEN l_quantity + 100 * l_discount > 40 THEN 1 ELSE 0 END AS Y")
-    return cm.compare_classifiers(df, **SMALL).table
+    return cm.compare_classifiers(df).table
 
 
 @query("compare_classifiers_unstratified")
 def _(spark, sf_dir):
     df = _measures(spark, sf_dir, "CASE WHEN l_quantity + 100 * l_discount > 40 THEN 1 ELSE 0 END AS Y")
-    return cm.compare_classifiers(df, stratify=False, **SMALL).best
+    return cm.compare_classifiers(df, stratify=False).best
 
 
 @query("compare_regressors")
 def _(spark, sf_dir):
     df = _measures(spark, sf_dir, "l_quantity + 10 * l_tax AS Ylabel_a", "l_discount * 50 - l_quantity AS Ylabel_b")
-    return cm.compare_regressors(df, **SMALL).table
+    return cm.compare_regressors(df).table
 
 
 EMBEDDED = [f"x{i}" for i in range(64)]
-LIGHT = {
-    "Random Forest": {"trees": 5, "depth": 4}, "Lasso Regression": {"alpha": 0.01}, "XGBoost": {"trees": 3, "depth": 3},
-    "LightGBM": {"trees": 3, "depth": 3},
-}
 
 
 def _embedded(spark, sf_dir):
@@ -189,24 +182,22 @@ def _embedded(spark, sf_dir):
 @query("pick_regressor")
 def _(spark, sf_dir):
     rows, _scaler = tu.modelling_rows(_embedded(spark, sf_dir), EMBEDDED, ["level", "weight"])
-    _name, _best, scores = tu.pick_regressor(rows, ["level", "weight"], params=LIGHT, folds=2, repeats=1)
+    _name, _best, scores = tu.pick_regressor(rows, ["level", "weight"])
     return spark.createDataFrame([(n, float(v)) for n, v in scores.items()], "model string, mape double")
 
 
 @query("tune_regressor")
 def _(spark, sf_dir):
     rows, _scaler = tu.modelling_rows(_embedded(spark, sf_dir), EMBEDDED, ["weight"])
-    untuned = tu.cross_validate(rows, "KNN", {}, ["weight"], 2, 1, "mape")
-    params, mape = tu.tune_regressor(rows, "KNN", untuned, ["weight"], trials=3, tune_folds=2, folds=2, repeats=1, base={"k": 5})
+    untuned = tu.cross_validate(rows, "KNN", {}, ["weight"], tu.FOLDS, tu.REPEATS, "mape")
+    params, mape = tu.tune_regressor(rows, "KNN", untuned, ["weight"], base=tu.DEFAULTS["KNN"])
     return spark.createDataFrame([(params["k"], untuned, mape)], "k int, untuned_mape double, mape double")
 
 
 @query("generate_model")
 def _(spark, sf_dir):
     df = _embedded(spark, sf_dir)
-    made = tu.generate_model(
-        df, EMBEDDED, ["level", "weight"], names=["Lasso Regression", "SVR"], params=LIGHT, folds=2, repeats=1, trials=2, tune_folds=2
-    )
+    made = tu.generate_model(df, EMBEDDED, ["level", "weight"])
     predicted = made.predict(df)
     return predicted.select("level", "weight", "prediction_level", "prediction_weight")
 
@@ -232,13 +223,13 @@ def _price_model(spark, sf_dir):
 @query("recommend_values")
 def _(spark, sf_dir):
     model, scaler, rows, goals = _price_model(spark, sf_dir)
-    return rc.recommend_values(model, scaler, INPUTS, CONTROLS, LIMITS, goals, ["price"], rows, all_parameters=True, candidates=40, rounds=4)
+    return rc.recommend_values(model, scaler, INPUTS, CONTROLS, LIMITS, goals, ["price"], rows, all_parameters=True)
 
 
 @query("recommend_ranges")
 def _(spark, sf_dir):
     model, scaler, rows, goals = _price_model(spark, sf_dir)
-    return rc.recommend_ranges(model, scaler, INPUTS, CONTROLS, LIMITS, goals, ["price"], rows, restarts=4, candidates=20, rounds=3)
+    return rc.recommend_ranges(model, scaler, INPUTS, CONTROLS, LIMITS, goals, ["price"], rows)
 
 
 @query(
