@@ -95,3 +95,18 @@ def test_repeated_rows_and_empty(spark):
     assert got == [(7, 7), (7, 7), (8, 7), (8, 7), (9, 7), (10, 7)]
     assert near_duplicates(documents(spark, [])).count() == 0
     assert [tuple(x) for x in near_duplicates(documents(spark, [(3, None)])).collect()] == [(3, 3)]
+
+
+def test_lower_thresholds_find_all(spark):
+    from yieldlens.llm.neardup import agreeing_for, bands_for
+
+    assert (bands_for(0.8), agreeing_for(0.8)) == ((16, 4), 41)
+    r = random.Random(2)
+    rows = []
+    for i in range(120):
+        text = text_of(r, 100)
+        rows += [(10 * i, text), (10 * i + 1, edited(r, text, 5))]
+    got = {x["doc_id"]: x["class_id"] for x in near_duplicates(documents(spark, rows), threshold=0.6).collect()}
+    expected = brute(rows, 0.6)
+    assert sum(expected[i] != i for i in expected) > 60
+    assert got == expected

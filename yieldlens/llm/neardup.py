@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +14,9 @@ from yieldlens.llm.links import components, link, shared_buckets, small
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: With 16 bands of 4 samples a pair of similarity 0.8 is missed with probability 0.0002.
-BANDS, ROWS = 16, 4
-#: Of each sample four bits are kept. Texts are compared if this many samples of 64 agree in them: 52 are
-#: expected at similarity 0.8, and fewer than 41 come with probability 0.0003.
-AGREEING = 41
+SAMPLES = 64
+#: A pair of exactly the threshold is missed by all bands, and by the count of agreeing samples, with at most this probability each.
+MISSED = 0.0004
 PLANES = 4
 #: Words are counted in this many hashed places, so the table of document frequencies has a fixed size.
 PLACES = 1 << 20
@@ -165,36 +164,59 @@ class WeightedSampler:
         return out
 
 
-def _band_keys(samples: np.ndarray) -> np.ndarray:
+def bands_for(threshold: float) -> tuple[int, int]:
+    """Bands and the samples in each: the longest bands of 64 samples that miss few pairs of similarity ``threshold``.
+
+    At 0.8 these are 16 bands of 4, which miss a pair with probability 0.0002.
+    """
+    for rows in (4, 2, 1):
+        if (1 - threshold**rows) ** (SAMPLES // rows) <= MISSED:
+            return SAMPLES // rows, rows
+    raise ValueError(f"{SAMPLES} samples are too few for similarities of {threshold}")
+
+
+def agreeing_for(threshold: float) -> int:
+    """Fewest samples that agree in their kept bits at ``threshold``, but for few pairs; 41 at 0.8, where 52 are expected."""
+    p = threshold + (1 - threshold) / 2**PLANES
+    below, fewest = 0.0, 0
+    while fewest < SAMPLES:
+        below += comb(SAMPLES, fewest) * p**fewest * (1 - p) ** (SAMPLES - fewest)
+        if below > MISSED:
+            break
+        fewest += 1
+    return fewest
+
+
+def _band_keys(samples: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key for each text and band."""
     with np.errstate(over="ignore"):
-        key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(samples), BANDS)).copy()
-        for i in range(ROWS):
-            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + samples[:, i::ROWS][:, :BANDS])
+        key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(samples), bands)).copy()
+        for i in range(rows):
+            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + samples[:, i::rows][:, :bands])
     return key
 
 
-def signatures(docs: DataFrame, idf) -> DataFrame:
+def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
     """``id, digest, keys, p0 ...``: a digest of the text, the keys of its bands (none without words), bits of its samples.
 
     Bit s of ``p0`` is the lowest bit of sample s, and so on.
     """
 
     def run(batch: pa.RecordBatch):
-        sampler = WeightedSampler(BANDS * ROWS)
+        sampler = WeightedSampler(SAMPLES)
         data, at = text_buffer(batch.column(1))
         for first, last in pieces(at, 1 << 20):
             own, places = data[at[first] : at[last]], at[first : last + 1] - at[first]
             shingles = Shingles(own, places, idf.value)
             samples = sampler.sample(shingles.hash, shingles.weight, shingles.bounds)
-            keys = _band_keys(samples).view(np.int64)
+            keys = _band_keys(samples, bands, rows).view(np.int64)
             mixed = mix64(samples)
             planes = [
                 np.packbits(((mixed >> np.uint64(p)) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64).ravel()
                 for p in range(PLANES)
             ]
             some = np.diff(shingles.bounds) > 0
-            offsets = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
+            offsets = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
             raw = own.tobytes()
             digests = [hashlib.md5(raw[a:b]).digest() for a, b in zip(places, places[1:])]
             yield pa.RecordBatch.from_arrays(
@@ -209,12 +231,12 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
     return in_arrow(docs.select("id", "text"), run, f"id long, digest binary, keys array<long>, {bits}")
 
 
-def _agree(a: str, b: str) -> Column:
+def _agree(a: str, b: str, fewest: int) -> Column:
     """Whether enough samples agree in all their kept bits."""
     differ = F.col(f"{a}p0").bitwiseXOR(F.col(f"{b}p0"))
     for p in range(1, PLANES):
         differ = differ.bitwiseOR(F.col(f"{a}p{p}").bitwiseXOR(F.col(f"{b}p{p}")))
-    return BANDS * ROWS - F.bit_count(differ) >= AGREEING
+    return SAMPLES - F.bit_count(differ) >= fewest
 
 
 def _similar(idf, threshold: float):
@@ -249,7 +271,7 @@ def near_duplicates(
     components. A document stays if its id is its class id.
 
     Words are ``[^\\x20\\x09-\\x0D]+``. Document frequencies of all words go to a table of fixed size. Each text
-    gives 64 weighted samples in 16 bands; pairs of a band are compared if ``AGREEING`` samples agree. Equal texts are one node, their smallest id; texts that share
+    gives 64 weighted samples in bands; pairs of a band are compared if enough samples agree, both by ``threshold``. Equal texts are one node, their smallest id; texts that share
     a band are linked as in ``links.link``, verified on the texts themselves.
 
     A null or wordless text is in a class of its own unless ids repeat. Rows with an equal id are one
@@ -257,10 +279,12 @@ def near_duplicates(
     read; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    bands, rows = bands_for(threshold)
+    fewest = agreeing_for(threshold)
     importable(spark)
     named = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     idf = spark.sparkContext.broadcast(inverse_frequencies(*document_frequencies(named)))
-    signed = stored(signatures(named, idf))
+    signed = stored(signatures(named, idf, bands, rows))
     worded = signed.where(F.col("id").isNotNull() & (F.size("keys") > 0))
     copies = stored(
         worded.groupBy("digest").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("rep <> most").drop("most")
@@ -281,7 +305,7 @@ def near_duplicates(
         return in_arrow(both, _similar(idf, threshold), "a long, b long").distinct()
 
     # a copy hangs on its text's node
-    roots = link(shared, similar, traits, _agree)
+    roots = link(shared, similar, traits, lambda a, b: _agree(a, b, fewest))
     if member.groupBy("a").count().where("count > 1").isEmpty() and member.join(nodes, F.col("a") == F.col("id")).isEmpty():
         onward = roots.select(F.col("id").alias("b"), "root")
         copied = member.join(onward, "b", "left").select(F.col("a").alias("id"), F.coalesce("root", "b").alias("class_"))
