@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from yieldlens.session import cut_lineage
@@ -102,6 +104,27 @@ def pieces(at: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         first = last
 
 
+#: Blank runs of this length are encoded as the one piece they are: the library's own search runs out of stack on very long ones.
+LONG_BLANKS = 1 << 14
+_LONG_BLANKS = regex.compile(rf"(?<!\p{{White_Space}})\p{{White_Space}}{{{LONG_BLANKS},}}+")
+
+
+def encode_ordinary(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """``encoding.encode_ordinary(text)`` for texts with blank runs of any length.
+
+    Holds for patterns that, as PATTERN does, take a run of blanks but for the last one, if something follows, as one match.
+    """
+    if len(text) < LONG_BLANKS:
+        return encoding.encode_ordinary(text)
+    out, at = [], 0
+    for run in _LONG_BLANKS.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += encoding.encode_ordinary(text[at : run.start()])
+        out += encoding._encode_single_piece(text[run.start() : end])
+        at = end
+    return out + encoding.encode_ordinary(text[at:])
+
+
 class Words:
     """Words of a run of texts: byte ranges ``starts``, ``ends`` and the number of each word's text, ``doc``.
 

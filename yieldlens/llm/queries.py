@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from yieldlens.llm import ann, bpe, language, lines, neardup, packing, quality, substrings, topk, urls
+from yieldlens.llm import alignment, ann, bpe, doc_rules, language, lines, neardup, packing, quality, substrings, topk, urls
 from yieldlens.llm.common import held_out
 
 
@@ -141,6 +141,18 @@ SELECT page_id, host, path, rule,
 FROM judged
 """
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers share every document's bytes, and how common the linked id pairs are."""
+    shown = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return alignment.align_corpus(_table(spark, sf_dir, "documents"), groups=shown)
+
+
+def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and the verdict of base rules and trees; learned from labels that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return doc_rules.judge(docs, doc_rules.train(docs, labels))
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_language": op2_language,
@@ -152,5 +164,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_neardup": op9_neardup,
     "op10_urls": op10_urls,
+    "op12_alignment": op12_alignment,
+    "op13_rules": op13_rules,
 }
 ORACLES = {"op3_topk": OP3_SQL, "op6_substrings": OP6_SQL, "op10_urls": OP10_SQL}
