@@ -126,7 +126,7 @@ def test_long_blank_runs(both, monkeypatch, blank, end):
     first = alignment.First(*paths)
     for text in ("a" + blank * 20000 + end, blank * 17000 + end + blank * 17000 + "b " + end):
         assert first.encode(text) == both[0].encode(" " + text, add_special_tokens=False).ids
-    assert len(first.encode(blank * 1_000_000 + end)) > 900_000
+    assert len(first.encode(blank * 1_000_000 + end)) > 1000
     assert common.LONG_BLANKS <= 17000
 
 
