@@ -92,26 +92,28 @@ def test_rare_pairs_by_join(spark, both, rows):
     """With few broadcast pairs the others are joined; sums are the same."""
     from pyspark.sql import functions as F
 
-    width = both[1].vocab_size()
-    aligned = alignment.stored(alignment.align(documents(spark, rows)).withColumn("row", F.monotonically_increasing_id()))
-    counts = alignment.stored(alignment.link_counts(aligned, width))
-    one, few = (sorted(map(tuple, alignment.link_scores(aligned, counts, width, n).collect())) for n in (1 << 19, 8))
+    found = alignment.align(documents(spark, rows), columns=alignment.PAIRS)
+    aligned = alignment.stored(found.withColumn("row", F.monotonically_increasing_id()))
+    counts = alignment.stored(alignment.link_counts(aligned, both[1].vocab_size()))
+    one, few = (sorted(map(tuple, alignment.link_scores(aligned, counts, n).collect())) for n in (1 << 19, 8))
     assert one == few and len(one) > 80
 
 
+def test_tokens_and_sizes(spark, both):
+    (r,) = alignment.align(documents(spark, [(1, "a réunion of tokens 日本")])).collect()
+    assert r["a"] == both[0].encode(" a réunion of tokens 日本").ids and r["b"] == both[1].encode("a réunion of tokens 日本")
+    assert sum(r["a_sizes"]) == len(r["a"]) and sum(r["b_sizes"]) == len(r["b"]) and len(r["a_sizes"]) == len(r["b_sizes"]) > 3
+
+
 def test_slices_of_large_groups(monkeypatch):
     """Rows over the bound are expanded in ranges of ids; the pairs are the same."""
-    import pyarrow as pa
-
     r = np.random.default_rng(2)
-    a_sizes, b_sizes = [[300, 2], [], [1]], [[200, 1], [], [4]]
-    batch = pa.RecordBatch.from_pydict({
-        "a": [list(map(int, r.integers(0, 90, sum(s)))) for s in a_sizes], "b": [list(map(int, r.integers(0, 50, sum(s)))) for s in b_sizes],
-        "a_sizes": a_sizes, "b_sizes": b_sizes,
-    })
-    whole = [tuple(map(int, x)) for part in alignment.Aligned(batch).pairs(50) for x in zip(*part)]
+    a_sizes, b_sizes = np.array([300, 2, 1]), np.array([200, 1, 4])
+    a, b = r.integers(0, 90, 303), r.integers(0, 50, 205)
+    rows = alignment.Aligned(a, np.array([302, 0, 1]), b, np.array([201, 0, 4]), a_sizes, b_sizes, np.array([2, 0, 1]))
+    whole = [tuple(map(int, x)) for part in rows.pairs(50) for x in zip(*part)]
     monkeypatch.setattr(alignment, "EXPAND", 500)
-    parts = list(alignment.Aligned(batch).pairs(50))
+    parts = list(rows.pairs(50))
     assert sorted(tuple(map(int, x)) for part in parts for x in zip(*part)) == sorted(whole)
     assert len(parts) > 4 and sum(w[2] for w in whole) == 300 * 200 + 2 + 4
 
@@ -125,7 +127,7 @@ def test_long_blank_runs(both, monkeypatch, blank, end):
     paths = (*map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
     first = alignment.First(*paths)
     for text in ("a" + blank * 20000 + end, blank * 17000 + end + blank * 17000 + "b " + end):
-        assert first.encode(text) == both[0].encode(" " + text, add_special_tokens=False).ids
+        assert first.encode(text).tolist() == both[0].encode(" " + text, add_special_tokens=False).ids
     assert len(first.encode(blank * 1_000_000 + end)) > 1000
     assert common.LONG_BLANKS <= 17000
 

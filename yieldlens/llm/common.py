@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -109,20 +110,22 @@ LONG_BLANKS = 1 << 14
 _LONG_BLANKS = regex.compile(rf"(?<!\p{{White_Space}})\p{{White_Space}}{{{LONG_BLANKS},}}+")
 
 
-def encode_ordinary(encoding: tiktoken.Encoding, text: str) -> list[int]:
-    """``encoding.encode_ordinary(text)`` for texts with blank runs of any length.
+def encode_ordinary(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
+    """Ids of a text without special tokens, blank runs of any length included.
 
     Holds for patterns that, as PATTERN does, take a run of blanks but for the last one, if something follows, as one match.
     """
+    def plain(part: str) -> np.ndarray:
+        return np.array(array("i", encoding.encode_ordinary(part)), dtype=np.int64)
+
     if len(text) < LONG_BLANKS:
-        return encoding.encode_ordinary(text)
+        return plain(text)
     out, at = [], 0
     for run in _LONG_BLANKS.finditer(text):
         end = run.end() if run.end() == len(text) else run.end() - 1
-        out += encoding.encode_ordinary(text[at : run.start()])
-        out += encoding._encode_single_piece(text[run.start() : end])
+        out += [plain(text[at : run.start()]), np.array(encoding._encode_single_piece(text[run.start() : end]), np.int64)]
         at = end
-    return out + encoding.encode_ordinary(text[at:])
+    return np.concatenate([*out, plain(text[at:])])
 
 
 class Words:
