@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from yieldlens.llm import alignment, ann, bpe, doc_rules, language, lines, neardup, packing, quality, substrings, topk, urls
+from yieldlens.llm import alignment, ann, bpe, conversation_trie, doc_rules, language, lines, neardup, packing, quality, substrings, topk, urls
 from yieldlens.llm.common import held_out
 
 
@@ -141,6 +141,60 @@ SELECT page_id, host, path, rule,
 FROM judged
 """
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations, which share openings."""
+    turns = conversation_trie.numbered_turns(_table(spark, sf_dir, "conversations"))
+    nodes, ends = conversation_trie.prefix_trie(conversation_trie.share_openings(turns))
+    digest = F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256")
+    return nodes.join(conversation_trie.end_digests(ends), ["k1", "k2"], "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", digest
+    )
+
+
+OP11_SQL = """
+WITH turns AS MATERIALIZED (
+  SELECT conv_id AS c, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m,
+         strlen(coalesce(text, '')) AS bytes,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS MATERIALIZED (
+  SELECT c, xor(4294967295::BIGINT, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda ch: ascii(ch)::BIGINT)),
+           lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))
+         )) % 9 AS h
+  FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+  SELECT o.c, 1 AS part, t.p, t.m, t.bytes FROM convs o JOIN turns t ON t.c = o.c AND t.p > o.h
+  UNION ALL
+  SELECT o.c, 0, t.p, t.m, t.bytes FROM convs o JOIN turns t ON t.c = o.c - o.c % 5 AND t.p <= o.h
+), listed AS MATERIALIZED (
+  SELECT c, list(m ORDER BY part, p) FILTER (m IS NOT NULL) AS ms, list(bytes ORDER BY part, p) FILTER (m IS NOT NULL) AS bs
+  FROM convs LEFT JOIN rebuilt USING (c) GROUP BY c
+), paths AS MATERIALIZED (
+  SELECT c, d, len(coalesce(ms, [])) AS total, coalesce(array_to_string(ms[1:d], ''), '') AS prefix, coalesce(bs[d], 0) AS bytes
+  FROM listed, unnest(range(0, len(coalesce(ms, [])) + 1)) AS u(d)
+), nodes AS MATERIALIZED (
+  SELECT prefix, d AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (total = d), '')) AS ends_sha256
+  FROM paths GROUP BY prefix, d
+), above AS (
+  SELECT n.conv_id, n.depth, n.saved, p.d AS up, q.conv_id AS up_conv
+  FROM nodes n JOIN paths p ON p.c = n.conv_id AND p.d <= n.depth JOIN nodes q ON q.prefix = p.prefix AND q.depth = p.d
+), children AS (
+  SELECT up_conv AS conv_id, up AS depth, count(*) AS n FROM above WHERE up = depth - 1 GROUP BY ALL
+), sums AS (
+  SELECT up_conv, up, sum(saved) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM above a LEFT JOIN children k ON k.conv_id = a.conv_id AND k.depth = a.depth GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, a.up_conv AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+       s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.up_conv = n.conv_id AND s.up = n.depth
+LEFT JOIN children k ON k.conv_id = n.conv_id AND k.depth = n.depth
+LEFT JOIN above a ON a.conv_id = n.conv_id AND a.depth = n.depth AND a.up = n.depth - 1
+"""
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the tokens of two tokenizers share every document's bytes, and how common the linked id pairs are."""
     shown = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
@@ -164,7 +218,8 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_neardup": op9_neardup,
     "op10_urls": op10_urls,
+    "op11_trie": op11_trie,
     "op12_alignment": op12_alignment,
     "op13_rules": op13_rules,
 }
-ORACLES = {"op3_topk": OP3_SQL, "op6_substrings": OP6_SQL, "op10_urls": OP10_SQL}
+ORACLES = {"op3_topk": OP3_SQL, "op6_substrings": OP6_SQL, "op10_urls": OP10_SQL, "op11_trie": OP11_SQL}
