@@ -52,3 +52,24 @@ def test_odd_vectors_and_copies(spark):
     assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (104, 1, 0), (104, 2, 1), (104, 3, 2)]
     assert nearest(rows.where("vec_id > 999"), rows).count() == 0
     assert nearest(rows, rows.where("vec_id > 999")).count() == 0
+
+
+def test_repeated_queries(spark):
+    """Each of two equal query rows has its own k neighbours, in one cell and in many."""
+    rng = np.random.default_rng(9)
+    vectors = [(i, rng.standard_normal(8).tolist()) for i in range(600)]
+    rows = spark.createDataFrame([*vectors, vectors[0], vectors[40]], SCHEMA)
+    queries = rows.where("vec_id in (0, 40, 80)")
+    for cell_rows in (50, 5000):
+        found = nearest(queries, rows, k=4, cell_rows=cell_rows, probability=0.9999).collect()
+        for q, times in ((0, 2), (40, 2), (80, 1)):
+            want = sorted([(n + 1, i) for n, (i, _) in enumerate(exact_rows(rows, q, 4))] * times)
+            assert sorted((r["rank"], r["vec_id"]) for r in found if r["query_id"] == q) == want
+
+
+def exact_rows(rows, q, k):
+    """The k nearest rows of a table in which ids repeat."""
+    table = [(r["vec_id"], np.array(r["embedding"])) for r in rows.collect()]
+    own = next(v for i, v in table if i == q)
+    scored = [(-float(v @ own / np.linalg.norm(v) / np.linalg.norm(own)), i) for i, v in table if i != q]
+    return [(i, s) for s, i in sorted(scored)[:k]]

@@ -46,3 +46,16 @@ def test_few_and_none(spark):
     none = rows.where("vec_id > 5")
     assert top_by_product(none, rows).count() == 0
     assert top_by_product(rows, none).count() == 0
+
+
+def test_repeated_queries(spark):
+    """Each of two equal query rows has its own k rows."""
+    rng = np.random.default_rng(3)
+    vectors = [(i, (rng.integers(-9, 10, 5) / 8).tolist()) for i in range(200)]
+    rows = spark.createDataFrame([*vectors, vectors[0]], SCHEMA)
+    found = top_by_product(rows.where("vec_id in (0, 20)"), rows, k=5, chunk=1, block=64).collect()
+    x = [(i, [math.floor(1024 * c) for c in v]) for i, v in [*vectors, vectors[0]]]
+    for q, times in ((0, 2), (20, 1)):
+        scored = sorted((-sum(a * b for a, b in zip(dict(x)[q], v)), i) for i, v in x if i != q)[:5]
+        want = sorted([(n + 1, i, -s) for n, (s, i) in enumerate(scored)] * times)
+        assert sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q) == want

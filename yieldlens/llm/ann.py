@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from yieldlens.llm.blocks import against
 from yieldlens.llm.common import stored, finite_vectors, in_arrow, vectors_of
-from yieldlens.llm.topk import ranked
+from yieldlens.llm.topk import numbered, ranked
 
 #: Vectors the cells are learned from, at most. Every vector is indexed, whatever the sample.
 SAMPLE = 20_000
@@ -133,7 +133,7 @@ def _search(k: int, m: int, seed: int, stop: float):
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         none = np.zeros(0, dtype=np.int64)
         if not queries.num_rows or not rows.num_rows:
-            return pa.table({"query_id": none, "id": none, "score": none.astype(float)})
+            return pa.table({"row": none, "query_id": none, "id": none, "score": none.astype(float)})
         x, ids = vectors_of(rows["v"], np.float64), rows["id"].to_numpy()
         q, q_ids = vectors_of(queries["v"], np.float64), queries["id"].to_numpy()
         bound = queries["bound"].to_numpy().copy()
@@ -173,7 +173,8 @@ def _search(k: int, m: int, seed: int, stop: float):
                 kth = best[a][:, -1]
                 bound[a] = np.where(np.isfinite(kth), np.minimum(bound[a], 2 - 2 * kth + 1e-12), bound[a])
         at_q, at_k = np.nonzero(np.isfinite(best))
-        return pa.table({"query_id": q_ids[at_q], "id": best_id[at_q, at_k], "score": best[at_q, at_k]})
+        rows_of = queries["row"].to_numpy()[at_q]
+        return pa.table({"row": rows_of, "query_id": q_ids[at_q], "id": best_id[at_q, at_k], "score": best[at_q, at_k]})
 
     return run
 
@@ -195,23 +196,23 @@ def nearest(
 
     Vectors that are null, zero, empty or hold null or non-finite components take no part.
     A row with the query's id is not its candidate. Vectors of different lengths are not
-    compared. Repeated rows are rows of their own. A query with fewer than k candidates gets
+    compared. Repeated rows are rows of their own, and each repeated query gets its k rows. A query with fewer than k candidates gets
     all of them. Empty tables give an empty result; other columns are not read.
     """
     stop = chi_square_quantile(probability, m)
     nonzero = F.exists("v", lambda x: x != 0)
     there = finite_vectors(rows, id_column, vector).where(nonzero).withColumn("dim", F.size("v"))
-    asked = finite_vectors(queries, id_column, vector).where(nonzero).withColumn("dim", F.size("v"))
+    asked = numbered(finite_vectors(queries, id_column, vector).where(nonzero).withColumn("dim", F.size("v")))
     count = there.count()
     cells = min(MAX_CELLS, max(1, count // cell_rows))
     drawn = there.where(F.rand(seed) < min(1.0, 0.9 * sample / max(1, count))).limit(sample) if cells > 1 else None
     trees: dict[int, list] = {}
     if drawn is not None:
-        by_dim: dict[int, list] = {}
-        for r in drawn.select("dim", "v").collect():
-            by_dim.setdefault(r["dim"], []).append(r["v"])
-        trees = {d: _top_tree(_unit(np.array(v)) @ _projection(d, m, seed), cells) for d, v in by_dim.items()}
-    trees = {d: t for d, t in trees.items()}
+        table = drawn.select("dim", "v").toArrow()
+        dims = table.column("dim").to_numpy()
+        for d in map(int, np.unique(dims)):
+            vectors = vectors_of(table.column("v").filter(pa.array(dims == d)), np.float64)
+            trees[d] = _top_tree(_unit(vectors) @ _projection(d, m, seed), cells)
     alone = [(-1, 0.0, 0, 0)]
 
     def place(batch: pa.RecordBatch):
@@ -236,29 +237,27 @@ def nearest(
                 who, cell = np.nonzero(go)
                 who += first
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c).take(pa.array(who)) for c in ("id", "v", "dim", "bound")]
+                    [part.column(c).take(pa.array(who)) for c in ("row", "id", "v", "dim", "bound")]
                     + [pa.array(cell.astype(np.int32))],
-                    names=["id", "v", "dim", "bound", "cell"],
+                    names=["row", "id", "v", "dim", "bound", "cell"],
                 )
 
-    placed_schema = "id long, v array<double>, dim int, cell int"
-    placed = in_arrow(there, place, placed_schema)
-    started = in_arrow(asked, place, placed_schema).withColumn("bound", F.lit(float("inf")))
-    run, schema, most = _search(k, m, seed, stop), "query_id long, id long, score double", max(1, len(trees)) * cells
+    placed = in_arrow(there, place, "id long, v array<double>, dim int, cell int")
+    started = in_arrow(asked, place, "id long, v array<double>, dim int, row long, cell int").withColumn("bound", F.lit(float("inf")))
+    run, schema = _search(k, m, seed, stop), "row long, query_id long, id long, score double"
+    most = max(1, len(trees)) * cells
     first = stored(against(started, placed, most, run, schema, ["dim"], block=cell_rows))
     if cells == 1:
         return _result(first, k, id_column)
     kth = ranked(first, k).where(F.col("rank") == k).select(
-        F.col("query_id").alias("id"), (2 - 2 * F.col("score") + 1e-12).alias("kth")
+        "row", (2 - 2 * F.col("score") + 1e-12).alias("kth")
     )
-    bounded = (
-        started.drop("bound").join(kth, "id", "left")
-        .withColumn("bound", F.coalesce("kth", F.lit(float("inf")))).drop("kth")
-    )
-    going = in_arrow(
-        bounded.select("id", "v", "dim", "cell", "bound"), visits,
-        "id long, v array<double>, dim int, bound double, cell int",
+    # stored: queries are dealt by their place in the table, which a join does not give again
+    bounded = stored(
+        started.drop("bound").join(kth, "row", "left")
+        .withColumn("bound", F.coalesce("kth", F.lit(float("inf")))).select("row", "id", "v", "dim", "cell", "bound")
     )
+    going = in_arrow(bounded, visits, "row long, id long, v array<double>, dim int, bound double, cell int")
     second = against(going, placed, most, run, schema, ["dim"], block=cell_rows)
     return _result(first.unionByName(second), k, id_column)
 

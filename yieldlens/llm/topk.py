@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from yieldlens.llm.blocks import against
-from yieldlens.llm.common import finite_vectors, vectors_of
+from yieldlens.llm.common import finite_vectors, stored, vectors_of
 
 SCALE = 1024
 WORD = 64
@@ -125,14 +125,15 @@ class BitSlices:
 
 def _block_top(k: int):
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        found: list[tuple[np.ndarray, ...]] = []
         if queries.num_rows and rows.num_rows:
             ids = rows["id"].to_numpy()
             order = np.argsort(ids, kind="stable")
             x, ids = vectors_of(rows["v"], np.int64)[order], ids[order]
             index = BitSlices(x)
             everything = index.ones()
-            for q_id, q in zip(queries["id"].to_numpy(), vectors_of(queries["v"], np.int64)):
+            asked = zip(queries["row"].to_numpy(), queries["id"].to_numpy(), vectors_of(queries["v"], np.int64))
+            for row, q_id, q in asked:
                 allowed = everything
                 own = np.arange(*np.searchsorted(ids, [q_id, q_id + 1]))
                 if len(own):
@@ -141,16 +142,21 @@ def _block_top(k: int):
                 rows_in = index.top(index.scores(q), k, allowed)
                 score = x[rows_in] @ q  # boundary rows are settled by their exact products
                 best = np.lexsort((ids[rows_in], -score))[:k]
-                found.append((np.full(len(best), q_id), ids[rows_in][best], score[best]))
-        parts = [np.concatenate(c) if found else np.zeros(0, dtype=np.int64) for c in (zip(*found) if found else ((), (), ()))]
-        return pa.table({"query_id": parts[0], "id": parts[1], "score": parts[2]})
+                found.append((np.full(len(best), row), np.full(len(best), q_id), ids[rows_in][best], score[best]))
+        parts = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, dtype=np.int64)] * 4
+        return pa.table(dict(zip(("row", "query_id", "id", "score"), parts)))
 
     return run
 
 
+def numbered(queries: DataFrame) -> DataFrame:
+    """Queries with a number ``row`` each, so that repeated ones stay apart; stored, as a task that runs again must give it again."""
+    return stored(queries.withColumn("row", F.monotonically_increasing_id()))
+
+
 def ranked(found: DataFrame, k: int) -> DataFrame:
-    """The k best rows of each query: highest score first, ties to the smaller id."""
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    """The k best rows of each query row: highest score first, ties to the smaller id."""
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
 
 
@@ -167,12 +173,12 @@ def top_by_product(
 
     Vectors that are null, empty or hold null or non-finite components take no part, neither
     as query nor as row. A row with the query's id is not its candidate. Vectors of different
-    lengths are not compared. Repeated rows are rows of their own. Scores must fit a long.
+    lengths are not compared. Repeated rows are rows of their own, and each repeated query gets its k rows. Scores must fit a long.
     Empty tables give an empty result; other columns are not read.
     """
     one = F.lit(0).alias("cell")
-    asked = quantised(queries, id_column, vector, scale).select("*", one)
+    asked = numbered(quantised(queries, id_column, vector, scale).select("*", one))
     there = quantised(rows, id_column, vector, scale).select("*", one)
-    schema = "query_id long, id long, score long"
+    schema = "row long, query_id long, id long, score long"
     found = against(asked, there, 1, _block_top(k), schema, ["dim"], chunk, block)
     return ranked(found, k).select("query_id", "rank", F.col("id").alias(id_column), "score")
