@@ -25,7 +25,7 @@ def brute(url, rules):
 
 def urls_of(n=400):
     r = random.Random(3)
-    hosts = ["net", "a.net", "example.net", "b.example.net", "xexample.net", "example.com", "de.example.com", "org", "q.org", "net.org", "EXAMPLE.net", "", "net:80"]
+    hosts = ["net", "a.net", "example.net", "b.example.net", "xexample.net", "example.com", "de.example.com", "org", "q.org", "net.org", "EXAMPLE.net", "", "net:80", "org\x01x", "x.example.net\x01", "org\x02", "a\x01.org", "\x01org", "org\x02\x02x"]
     paths = ["", "/", "/en/", "/en", "/de/x", "/fr/1", "/fr", "/en/é\n", "//en/"]
     tails = ["", "?a=/en/", "#/de/", "?x://y"]
     return [r.choice(["http://", "", "HTTPS://", "a://b://"]) + r.choice(hosts) + r.choice(paths) + r.choice(tails) for _ in range(n)]
@@ -50,6 +50,14 @@ def test_nested_and_odd_rules(spark):
     assert rows == {i: brute(u, plain) for i, u in enumerate(urls)}
 
 
+def test_rules_with_separators(spark):
+    rules = [("org", "/", "block"), ("org\x01x", "/", "allow"), ("x.org", "/", "allow"), ("org\x02", "/", "block"), ("\x01", "", "block")]
+    hosts = ["org", "org\x01x", "x.org", "a.x.org", "org\x02", "b.org\x02", "org\x02\x02x", "\x01", "q.\x01", "a.org\x01x", "org\x01"]
+    pages = spark.createDataFrame([(i, f"h://{h}/") for i, h in enumerate(hosts)], "page_id long, url string")
+    rows = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in judge_urls(pages, rule_table(spark, rules)).collect()}
+    assert rows == {i: brute(f"h://{h}/", rules) for i, h in enumerate(hosts)}
+
+
 def test_empty_and_repeated(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert judge_urls(none, rule_table(spark, URL_RULES)).count() == 0

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from yieldlens.llm.common import partitions, spread
 
-#: Ends each label of a key; sorts below every character a host can hold.
-END = "\x01"
+#: Ends each label of a key. Labels that hold it have it written with ESCAPE, so a key is a prefix of its subdomains' keys only.
+END, ESCAPE = "\x01", "\x02"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = T.StructType(
     [T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("verdict", T.StringType())]
@@ -28,7 +28,8 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def host_key(host: Column) -> Column:
     """Labels in reverse order, each closed by END: a host and its subdomains are one interval of keys."""
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), END), F.lit(END))
+    plain = F.replace(F.replace(host, F.lit(ESCAPE), F.lit(ESCAPE + "\x03")), F.lit(END), F.lit(ESCAPE + ESCAPE))
+    return F.concat(F.array_join(F.reverse(F.split(plain, r"\.")), END), F.lit(END))
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
