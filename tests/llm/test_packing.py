@@ -12,9 +12,7 @@ from yieldlens.llm.packing import Slots, pack
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_slots_hold_each_rank_once():
@@ -79,9 +77,16 @@ def test_empty(spark):
     assert pack(documents(spark, [])).count() == 0
 
 
+def test_blank_runs_of_any_length(spark):
+    (r,) = pack(documents(spark, [(1, "a" + " " * 1_000_000)]), capacity=1 << 21).collect()
+    assert r["doc_tokens"] == 1_000_002
+
+
 def test_added_tokens_have_their_ids(spark):
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     texts = ["end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "<|endoftext", " <|endoftext|>\n\n x", "é<|endoftext|>日 <|END|>"]
+    blanks = " " * 20000
+    texts += [f"a{blanks}<|endoftext|>{blanks}b{blanks}", f"\n{blanks}x"]
     rows = list(enumerate(texts))
     assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids
     check(rows, pack(documents(spark, rows)).collect(), plain)

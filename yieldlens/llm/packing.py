@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 import zlib
 from functools import partial
 
@@ -14,7 +15,7 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame, Window, functions as F
 
-from yieldlens.llm.common import stored, in_arrow, partitions, spread
+from yieldlens.llm.common import encode_ordinary, stored, in_arrow, partitions, spread
 
 CAPACITY = 2048
 END_ID = 1
@@ -76,6 +77,15 @@ def encoding(path: str, pattern: str, added: dict[str, int]) -> tiktoken.Encodin
     return _ENCODINGS[key]
 
 
+def _ids(encoder: tiktoken.Encoding, added: dict[str, int], text: str) -> np.ndarray:
+    """Ids of a text with blank runs of any length; an added token has its own id wherever the text holds it."""
+    if not any(token in text for token in added):
+        return encode_ordinary(encoder, text)
+    longest_first = "|".join(map(re.escape, sorted(added, key=len, reverse=True)))
+    parts = re.split(f"({longest_first})", text)
+    return np.concatenate([[added[p]] if i % 2 else encode_ordinary(encoder, p) for i, p in enumerate(parts)])
+
+
 def pieces_of(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
     path: str | None = None, pattern: str | None = None, added: dict[str, int] | None = None,
@@ -90,7 +100,7 @@ def pieces_of(
     path, pattern = path or public_tokenizers.path(VOCABULARY), pattern or public_tokenizers.PATTERN
 
     def run(batch: pa.RecordBatch):
-        encode = partial(encoding(path, pattern, added).encode, allowed_special=set(added), disallowed_special=())
+        encode = partial(_ids, encoding(path, pattern, added), added)
         out: list[tuple[int, int, int, int, int]] = []
         for i, t in enumerate(batch.column(1)):
             ids = np.array([*encode(t.as_py() or ""), END_ID], dtype="<u4")
