@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from yieldlens.operators import columns as co, ordered, ranks as rk, statistics as st, values as va
+from yieldlens.operators import columns as co, ordered, ranks as rk, statistics as st, trees as tr, values as va
 
 # Forest sizes and seeds, lasso grid and folds.
 RANK_TREES, RANK_SEED = 1024, 42
@@ -39,21 +39,16 @@ def rank_features_rf(
     max_depth: int = 10,
     seed: int = RANK_SEED,
 ) -> DataFrame:
-    """feature, importance in percent, falling. One forest per target, importances averaged.
+    """feature, importance in percent, falling: one forest whose trees split for all targets together.
 
-    Trees split on order only, so the features need no scaling.
+    Trees split on order only, so the features need no scaling; targets weigh the same. Bootstrap samples are
+    hashes of the rows' values, so equal rows are drawn alike and the result doesn't depend on partitioning. Rows with a null target are left out.
     """
-    vectors = assemble(df, features).select("features", *[st.quoted(t).cast("double").alias(f"_y{i}") for i, t in enumerate(targets)])
-    vectors = st.spread(vectors)
-    total = np.zeros(len(features))
-    for i in range(len(targets)):
-        forest = RandomForestRegressor(
-            labelCol=f"_y{i}", numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="all", seed=seed
-        )
-        total += forest.fit(vectors).featureImportances.toArray()
-    vectors.unpersist()
-    rows = [(c, float(100 * v / len(targets))) for c, v in zip(features, total)]
-    return rk.sort_ranks(df.sparkSession.createDataFrame(rows, "feature string, importance double"), "importance", "feature")
+    vector = F.array(*[st.quoted(c).cast("double") for c in features])
+    draw = F.xxhash64(*[st.quoted(c) for c in [*features, *targets]])
+    binned = tr.bin_rows(df, vector, features, targets, draw)
+    nodes = tr.grow(binned, [tr.Spec(tuple(range(len(targets))), trees, max_depth, seed=seed)])
+    return rk.sort_ranks(tr.importances(nodes, features).select("feature", "importance"), "importance", "feature")
 
 
 # ---- lasso on indicator columns

@@ -188,10 +188,15 @@ def _(spark, sf_dir):
 
 @query("tune_regressor")
 def _(spark, sf_dir):
+    """Each family: its error as it is and after the search."""
     rows, _scaler = tu.modelling_rows(_embedded(spark, sf_dir), EMBEDDED, ["weight"])
-    untuned = tu.cross_validate(rows, "KNN", {}, ["weight"], tu.FOLDS, tu.REPEATS, "mape")
-    params, mape = tu.tune_regressor(rows, "KNN", untuned, ["weight"], base=tu.DEFAULTS["KNN"])
-    return spark.createDataFrame([(params["k"], untuned, mape)], "k int, untuned_mape double, mape double")
+    data, search = tu.prepare(rows, ["weight"]), tu.prepare(rows, ["weight"], tu.TUNE_FOLDS, 1)
+    _name, _best, untuned = tu.pick_regressor(rows, ["weight"], prepared=data)
+    found = []
+    for name, error in untuned.items():
+        params, mape = tu.tune_regressor(rows, name, error, ["weight"], base=tu.DEFAULTS[name], prepared=data, tune_prepared=search)
+        found.append((name, {k: float(v) for k, v in params.items()}, error, mape))
+    return spark.createDataFrame(found, "model string, params map<string,double>, untuned_mape double, mape double")
 
 
 @query("generate_model")
