@@ -110,3 +110,32 @@ def test_lower_thresholds_find_all(spark):
     expected = brute(rows, 0.6)
     assert sum(expected[i] != i for i in expected) > 60
     assert got == expected
+
+
+def test_prefixes_meet_for_all_similar_pairs(spark):
+    """Sets of weighted shingles: every pair at or over the threshold shares a prefix feature; heavily edited ones meet nobody."""
+    from yieldlens.llm.neardup import weighted_prefixes
+
+    r = np.random.default_rng(7)
+    base = {int(f): float(w) for f, w in zip(range(60), r.uniform(0.5, 2, 60))}
+    sets = {}
+    for i in range(90):
+        own = dict(base)
+        for f in r.choice(60, int(r.integers(0, 40)), replace=False):
+            own[1000 + 100 * i + int(f)] = own.pop(int(f))
+        sets[i] = own
+    rows = [(i, f, w) for i, own in sets.items() for f, w in own.items()]
+    found = {}
+    for x in weighted_prefixes(spark.createDataFrame(rows, "id long, feature long, weight double"), 0.8).collect():
+        found.setdefault(x["id"], set()).add(x["feature"])
+    similar = met = 0
+    for i in sets:
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            both = sum(min(w, b[f]) for f, w in a.items() if f in b)
+            share = bool(found.get(i, set()) & found.get(j, set()))
+            met += share
+            if both >= 0.8 * (sum(a.values()) + sum(b.values()) - both):
+                similar += 1
+                assert share
+    assert similar > 20 and met < 0.4 * 90 * 89 / 2

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from yieldlens.llm.common import partitions, stored
+from yieldlens.llm.common import discard, partitions, stored
 
 #: Rows up to which a side of known size is broadcast; beyond it the join shuffles both sides.
 BROADCAST_ROWS = 200_000
 #: Rows of two or three numbers up to which a round is one task without shuffles; beyond it rounds are distributed.
 ONE_TASK_ROWS = 200_000
 #: Pairs across components that are compared at once, for each member row; above it another leader is tried first.
-PAIRS_PER_MEMBER = 4
+PAIRS_PER_MEMBER = 1
 LEADERS = 6
 
 
@@ -22,9 +22,25 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _kept(df: DataFrame, one: bool) -> DataFrame:
-    """``df`` stored; as one partition if it was counted to be small, so that joins and sums need no shuffle."""
-    return stored(df.coalesce(1)).coalesce(1) if one else stored(df)
+class Kept:
+    """Intermediate tables, which are deleted when nothing reads them any more."""
+
+    def __init__(self, one: bool):
+        #: Few rows were counted: tables are one partition, so that joins and sums need no shuffle.
+        self.one = one
+        self.tables: list[tuple[DataFrame, DataFrame]] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        table = stored(df.coalesce(1)) if self.one else stored(df)
+        shown = table.coalesce(1) if self.one else table
+        self.tables.append((table, shown))
+        return shown
+
+    def drop_all_but(self, *needed: DataFrame) -> None:
+        for table, shown in self.tables:
+            if not any(shown is n for n in needed):
+                discard(table)
+        self.tables = [t for t in self.tables if any(t[1] is n for n in needed)]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,13 +51,13 @@ def components(edges: DataFrame) -> DataFrame:
     component at least halves in a round, so rounds grow with the logarithm of its size.
     Few edges are one task's work; of more, no task ever sees a whole component. Null ends and loops are dropped.
     """
-    left = stored(
+    first = stored(
         edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
-    rows = left.count()
-    one = rows <= ONE_TASK_ROWS
-    left = left.coalesce(1) if one else left
+    rows = first.count()
+    tables = Kept(rows <= ONE_TASK_ROWS)
+    left = first.coalesce(1) if tables.one else first
     found = None
     while rows:
         both = left.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
@@ -49,25 +65,25 @@ def components(edges: DataFrame) -> DataFrame:
         # follow two steps at once, and again until no pointer moves
         moving = True
         while moving:
-            up = _kept(up, one)
+            up = tables.keep(up)
             onward = up.select(F.col("id").alias("root"), F.col("root").alias("next"))
-            jumped = _kept(up.join(onward, "root").select("id", "root", "next"), one)
+            jumped = tables.keep(up.join(onward, "root").select("id", "root", "next"))
             moving = not jumped.where("root <> next").isEmpty()
             up = jumped.select("id", F.col("next").alias("root"))
         if found is None:
-            found = up
+            found = tables.keep(up)
         else:
             onward = up.select(F.col("id").alias("root"), F.col("root").alias("next"))
-            found = _kept(
-                found.join(onward, "root", "left").select("id", F.coalesce("next", "root").alias("root")), one
-            )
+            found = tables.keep(found.join(onward, "root", "left").select("id", F.coalesce("next", "root").alias("root")))
         ends = left.join(up.select(F.col("id").alias("a"), F.col("root").alias("x")), "a").join(
             up.select(F.col("id").alias("b"), F.col("root").alias("y")), "b"
         )
-        left = _kept(ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), one)
+        left = tables.keep(ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         rows = left.count()
+        tables.drop_all_but(found, left)
     if found is None:
         return left.select(F.col("a").alias("id"), F.col("b").alias("root"))
+    discard(first)
     return found
 
 
@@ -85,67 +101,95 @@ def members_of(members: DataFrame, keys: DataFrame) -> DataFrame:
 
 def link(
     members: DataFrame, similar: Callable[[DataFrame], DataFrame], traits: DataFrame | None = None,
-    near: Callable[[str, str], Column] | None = None,
+    near: Callable[[str, str], Column] | None = None, prefixes: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``id, root`` of the linked ids: components over all similar pairs that share a bucket.
 
     ``members`` are ``key, id`` from ``shared_buckets``; ``similar`` keeps the similar ones of pairs
     ``a, b``. ``traits`` are numbers of the ids; ``near("a_", "b_")`` is a condition on the
     traits of both sides, under which a pair is compared at all. It is part of the joins, so other pairs are not written.
+    ``prefixes(ids)`` gives ``id, feature`` such that similar ids share a feature; with it ``near`` only
+    guides the first turns.
 
     Comparing all pairs of a bucket of near copies would be quadratic, and most of
-    them say nothing new. So first each bucket's members are compared with one leader,
-    a different one in each turn; what is similar becomes one component. Pairs within a
+    them say nothing new. So first members are compared with the leader of one of their buckets, another one in each
+    turn: a pair a member. What is similar becomes one component. Pairs within a
     component need no comparison, and buckets of one component are done. When few pairs across components
-    are left (they are counted, not listed), all of them are compared, so no link between components is lost.
+    are left (they are counted, not listed), or after the last leader, all of them that share a feature are compared, each
+    once, so no link between components is lost.
     """
     rows = members.count()
-    one = rows <= ONE_TASK_ROWS
-    members = members.coalesce(1) if one else members
+    tables = Kept(rows <= ONE_TASK_ROWS)
+    members = members.coalesce(1) if tables.one else members
     # who meets most others in its buckets stands most likely in the middle of its copies
     sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     met = members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("met"))
-    roots = _kept(members.select("id", F.col("id").alias("root")).distinct(), one)
+    roots = tables.keep(members.select("id", F.col("id").alias("root")).distinct())
     with_traits = members.select("key", "id").join(met, "id")
     names = [c for c in traits.columns if c != "id"] if traits is not None else []
-    members = _kept(with_traits.join(traits, "id") if names else with_traits, one)
+    members = tables.keep(with_traits.join(traits, "id") if names else with_traits)
 
-    def side(df: DataFrame, name: str, root: str) -> DataFrame:
-        return df.select("key", F.col("id").alias(name), F.col("root").alias(root), *[F.col(t).alias(f"{name}_{t}") for t in names])
+    def side(df: DataFrame, name: str, root: str, *own: str) -> DataFrame:
+        kept = [F.col(c) if c in by else F.col(c).alias(f"{name}_{c}") for c in own]
+        return df.select(F.col("id").alias(name), F.col("root").alias(root), *kept, *[F.col(t).alias(f"{name}_{t}") for t in names])
 
-    apart = F.col("x") != F.col("y")
+    by = ("key", "feature")
     close = near("a_", "b_") if near is not None else F.lit(True)
     for turn in range(LEADERS + 1):
-        placed = _kept(members.join(roots, "id"), one)
-        left = (
-            placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-            .groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
+        placed = tables.keep(members.join(roots, "id"))
+        counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+        left = counts.groupBy("key").agg(
+            F.sum("n").alias("size"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")
         )
-        left = _kept(left.where("pairs > 0"), one)
+        left = tables.keep(left.where("pairs > 0"))
         across = left.agg(F.sum("pairs")).first()[0]
         if not across:
             break
-        placed = _kept(placed.join(left.select("key"), "key", "left_semi"), one)
-        members = placed.drop("root")
+        placed = tables.keep(placed.join(left.select("key", "size"), "key"))
+        members = placed.drop("root", "size")
         last = turn == LEADERS or (turn > 0 and across <= PAIRS_PER_MEMBER * rows)
         if last:
-            if across > PAIRS_PER_MEMBER * ONE_TASK_ROWS:
-                placed, one = placed.repartition("key"), False
-            pairs = side(placed, "a", "x").join(side(placed, "b", "y"), "key").where((F.col("x") < F.col("y")) & close)
+            pairs = _all_pairs(placed, tables, side, close, prefixes)
         else:
-            # first whoever meets most others leads, then the lowest scrambled id
+            # first whoever meets most others leads, then the lowest scrambled id; first in the largest bucket, then in any
             rank = F.xxhash64("id", F.lit(turn)) if turn else F.struct(-F.col("met"), "id")
+            chosen = F.xxhash64("key", F.lit(turn)) if turn else F.struct(-F.col("size"), "key")
             lead = placed.groupBy("key").agg(F.min_by(F.struct("id", "root", *names), rank).alias("lead")).select("key", "lead.*")
-            pairs = side(placed, "a", "x").join(side(lead, "b", "y"), "key").where(apart & close)
-        pairs = _kept(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), one)
-        if one:  # the comparisons are work for all
+            one_each = placed.groupBy("id").agg(F.min_by(F.struct("key", "root", *names), chosen).alias("own")).select("id", "own.*")
+            pairs = side(one_each, "a", "x", "key").join(side(lead, "b", "y", "key"), "key").where((F.col("x") != F.col("y")) & close)
+        pairs = tables.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        if tables.one:  # the comparisons are work for all
             pairs = pairs.repartition(partitions(members.sparkSession))
         # new links tie the components found so far, so only their roots are edges
         new = similar(pairs).join(roots.select(F.col("id").alias("a"), F.col("root").alias("x")), "a")
         new = new.join(roots.select(F.col("id").alias("b"), F.col("root").alias("y")), "b")
         grouped = components(new.select(F.col("x").alias("a"), F.col("y").alias("b")))
         onward = grouped.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        roots = _kept(roots.join(onward, "root", "left").select("id", F.coalesce("next", "root").alias("root")), one)
+        roots = tables.keep(roots.join(onward, "root", "left").select("id", F.coalesce("next", "root").alias("root")))
         if last:
             break
+        members = tables.keep(members)
+        tables.drop_all_but(members, roots)
+    tables.drop_all_but(roots)
     return roots.where("id <> root")
+
+
+def _all_pairs(placed: DataFrame, tables: Kept, side: Callable, close: Column, prefixes: Callable | None) -> DataFrame:
+    """Every pair of different components that shares a bucket and, if there are prefixes, a feature; each once."""
+    keys = placed.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # as many as an id has bands
+    held = placed.drop("key", "size").distinct().join(keys, "id")
+    apart = F.col("x") < F.col("y")
+    if prefixes is None:
+        open_ = tables.keep(held.withColumn("key", F.explode("keys")))
+        if not tables.one:
+            open_ = open_.repartition("key")
+        met = side(open_, "a", "x", "key", "keys").join(side(open_, "b", "y", "key", "keys"), "key")
+        # the smallest bucket they share names the pair
+        return met.where(apart & close & (F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("key")))
+    found = tables.keep(prefixes(held.select("id")))
+    features = found.groupBy("id").agg(F.array_sort(F.collect_list("feature")).alias("features"))
+    open_ = tables.keep(held.join(features, "id").withColumn("feature", F.explode("features")))
+    own = ("feature", "features", "keys")
+    met = side(open_, "a", "x", *own).join(side(open_, "b", "y", *own), "feature")
+    once = F.array_min(F.array_intersect("a_features", "b_features")) == F.col("feature")
+    return met.where(apart & F.arrays_overlap("a_keys", "b_keys") & once)

@@ -7,7 +7,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from yieldlens.llm.common import Words, discard, stored, importable, in_arrow, mix64, pieces, text_buffer
 from yieldlens.llm.links import components, link, shared_buckets, small
@@ -15,7 +15,7 @@ from yieldlens.llm.links import components, link, shared_buckets, small
 SHINGLE = 5
 SIMILARITY = 0.8
 SAMPLES = 64
-#: A pair of exactly the threshold is missed by all bands, and by the count of agreeing samples, with at most this probability each.
+#: A pair of exactly the threshold is missed by all bands with at most this probability.
 MISSED = 0.0004
 PLANES = 4
 #: Words are counted in this many hashed places, so the table of document frequencies has a fixed size.
@@ -261,6 +261,37 @@ def _similar(idf, threshold: float):
     return run
 
 
+def _shingle_rows(idf):
+    def run(batch: pa.RecordBatch):
+        ids = batch.column("id")
+        data, at = text_buffer(batch.column("text"))
+        for first, last in pieces(at, 1 << 20):
+            own = Shingles(data[at[first] : at[last]], at[first : last + 1] - at[first], idf.value)
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(own.doc + first)), pa.array(own.hash.view(np.int64)), pa.array(own.weight.astype(np.float64))],
+                names=["id", "feature", "weight"],
+            )
+
+    return run
+
+
+def weighted_prefixes(shingles: DataFrame, threshold: float) -> DataFrame:
+    """``id, feature``: of ``id, feature, weight`` the first shingles of each id, as many as weigh over ``1 - threshold`` of all.
+
+    All ids have one order, the rarest shingles (among these ids) first. Two ids of weighted Jaccard similarity
+    ``threshold`` or more have that share of either's weight in common, so the first shingle they share is among the
+    first ones of both: exact, whatever the counts. Shingles that one id alone has count, but are not returned.
+    """
+    held = stored(shingles.groupBy("id", "feature").agg(F.max("weight").alias("weight")))
+    shared = held.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1")
+    placed = held.join(shared, "feature", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    before = Window.partitionBy("id").orderBy("n", "feature").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("id")
+    reached = placed.withColumn("before", F.coalesce(F.sum("weight").over(before), F.lit(0.0))).withColumn("all", F.sum("weight").over(whole))
+    # a little more than the bound, for sums in another order
+    return reached.where((F.col("before") <= F.col("all") * (1 - threshold + 1e-5)) & (F.col("n") > 1)).select("id", "feature")
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = SIMILARITY
 ) -> DataFrame:
@@ -271,7 +302,8 @@ def near_duplicates(
     components. A document stays if its id is its class id.
 
     Words are ``[^\\x20\\x09-\\x0D]+``. Document frequencies of all words go to a table of fixed size. Each text
-    gives 64 weighted samples in bands; pairs of a band are compared if enough samples agree, both by ``threshold``. Equal texts are one node, their smallest id; texts that share
+    gives 64 weighted samples in bands. How many samples agree only guides who is compared first; in the end every pair of a
+    band is compared that isn't in one class already and shares one of its rarest shingles (``weighted_prefixes``). Equal texts are one node, their smallest id; texts that share
     a band are linked as in ``links.link``, verified on the texts themselves.
 
     A null or wordless text is in a class of its own unless ids repeat. Rows with an equal id are one
@@ -304,8 +336,11 @@ def near_duplicates(
         both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
         return in_arrow(both, _similar(idf, threshold), "a long, b long").distinct()
 
+    def prefixes(ids: DataFrame) -> DataFrame:
+        return weighted_prefixes(in_arrow(texts.join(ids, "id"), _shingle_rows(idf), "id long, feature long, weight double"), threshold)
+
     # a copy hangs on its text's node
-    roots = link(shared, similar, traits, lambda a, b: _agree(a, b, fewest))
+    roots = link(shared, similar, traits, lambda a, b: _agree(a, b, fewest), prefixes)
     if member.groupBy("a").count().where("count > 1").isEmpty() and member.join(nodes, F.col("a") == F.col("id")).isEmpty():
         onward = roots.select(F.col("id").alias("b"), "root")
         copied = member.join(onward, "b", "left").select(F.col("a").alias("id"), F.coalesce("root", "b").alias("class_"))
