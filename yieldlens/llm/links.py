@@ -139,21 +139,21 @@ def link(
         placed = tables.keep(members.join(roots, "id"))
         counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
         left = counts.groupBy("key").agg(
-            F.sum("n").alias("size"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")
+            F.sum("n").alias("bucket_size"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")
         )
         left = tables.keep(left.where("pairs > 0"))
         across = left.agg(F.sum("pairs")).first()[0]
         if not across:
             break
-        placed = tables.keep(placed.join(left.select("key", "size"), "key"))
-        members = placed.drop("root", "size")
+        placed = tables.keep(placed.join(left.select("key", "bucket_size"), "key"))
+        members = placed.drop("root", "bucket_size")
         last = turn == LEADERS or (turn > 0 and across <= PAIRS_PER_MEMBER * rows)
         if last:
             pairs = _all_pairs(placed, tables, side, close, prefixes)
         else:
             # first whoever meets most others leads, then the lowest scrambled id; first in the largest bucket, then in any
             rank = F.xxhash64("id", F.lit(turn)) if turn else F.struct(-F.col("met"), "id")
-            chosen = F.xxhash64("key", F.lit(turn)) if turn else F.struct(-F.col("size"), "key")
+            chosen = F.xxhash64("key", F.lit(turn)) if turn else F.struct(-F.col("bucket_size"), "key")
             lead = placed.groupBy("key").agg(F.min_by(F.struct("id", "root", *names), rank).alias("lead")).select("key", "lead.*")
             one_each = placed.groupBy("id").agg(F.min_by(F.struct("key", "root", *names), chosen).alias("own")).select("id", "own.*")
             pairs = side(one_each, "a", "x", "key").join(side(lead, "b", "y", "key"), "key").where((F.col("x") != F.col("y")) & close)
@@ -177,7 +177,7 @@ def link(
 def _all_pairs(placed: DataFrame, tables: Kept, side: Callable, close: Column, prefixes: Callable | None) -> DataFrame:
     """Every pair of different components that shares a bucket and, if there are prefixes, a feature; each once."""
     keys = placed.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # as many as an id has bands
-    held = placed.drop("key", "size").distinct().join(keys, "id")
+    held = placed.drop("key", "bucket_size").distinct().join(keys, "id")
     apart = F.col("x") < F.col("y")
     if prefixes is None:
         open_ = tables.keep(held.withColumn("key", F.explode("keys")))
