@@ -13,7 +13,7 @@ BROADCAST_ROWS = 200_000
 #: Rows of two or three numbers up to which a round is one task without shuffles; beyond it rounds are distributed.
 ONE_TASK_ROWS = 200_000
 #: Pairs across components that are compared at once, for each member row; above it another leader is tried first.
-PAIRS_PER_MEMBER = 1
+PAIRS_PER_MEMBER = 4
 LEADERS = 6
 
 
@@ -102,21 +102,22 @@ def members_of(members: DataFrame, keys: DataFrame) -> DataFrame:
 def link(
     members: DataFrame, similar: Callable[[DataFrame], DataFrame], traits: DataFrame | None = None,
     near: Callable[[str, str], Column] | None = None, prefixes: Callable[[DataFrame], DataFrame] | None = None,
+    largest_first: bool = False,
 ) -> DataFrame:
     """``id, root`` of the linked ids: components over all similar pairs that share a bucket.
 
     ``members`` are ``key, id`` from ``shared_buckets``; ``similar`` keeps the similar ones of pairs
     ``a, b``. ``traits`` are numbers of the ids; ``near("a_", "b_")`` is a condition on the
     traits of both sides, under which a pair is compared at all. It is part of the joins, so other pairs are not written.
-    ``prefixes(ids)`` gives ``id, feature`` such that similar ids share a feature; with it ``near`` only
-    guides the first turns.
+    ``prefixes(ids)`` gives ``id, feature`` such that similar ids share a feature.
 
     Comparing all pairs of a bucket of near copies would be quadratic, and most of
-    them say nothing new. So first members are compared with the leader of one of their buckets, another one in each
-    turn: a pair a member. What is similar becomes one component. Pairs within a
+    them say nothing new. So first each bucket's members are compared with one leader,
+    a different one in each turn; what is similar becomes one component. With ``largest_first`` a member meets in the first turn
+    the leader of its largest bucket only, which is enough for copies that share all of theirs. Pairs within a
     component need no comparison, and buckets of one component are done. When few pairs across components
-    are left (they are counted, not listed), or after the last leader, all of them that share a feature are compared, each
-    once, so no link between components is lost.
+    are left (they are counted, not listed), all of them are compared, each once, so no link between components is lost. If many
+    are left after the last leader, only those that share a feature are, which loses none either.
     """
     rows = members.count()
     tables = Kept(rows <= ONE_TASK_ROWS)
@@ -149,14 +150,16 @@ def link(
         members = placed.drop("root", "bucket_size")
         last = turn == LEADERS or (turn > 0 and across <= PAIRS_PER_MEMBER * rows)
         if last:
-            pairs = _all_pairs(placed, tables, side, close, prefixes)
+            pairs = _all_pairs(placed, tables, side, close, prefixes if across > PAIRS_PER_MEMBER * rows else None)
         else:
-            # first whoever meets most others leads, then the lowest scrambled id; first in the largest bucket, then in any
+            # first whoever meets most others leads, then the lowest scrambled id
             rank = F.xxhash64("id", F.lit(turn)) if turn else F.struct(-F.col("met"), "id")
-            chosen = F.xxhash64("key", F.lit(turn)) if turn else F.struct(-F.col("bucket_size"), "key")
             lead = placed.groupBy("key").agg(F.min_by(F.struct("id", "root", *names), rank).alias("lead")).select("key", "lead.*")
-            one_each = placed.groupBy("id").agg(F.min_by(F.struct("key", "root", *names), chosen).alias("own")).select("id", "own.*")
-            pairs = side(one_each, "a", "x", "key").join(side(lead, "b", "y", "key"), "key").where((F.col("x") != F.col("y")) & close)
+            asking = placed
+            if largest_first and not turn:
+                largest = F.min_by(F.struct("key", "root", *names), F.struct(-F.col("bucket_size"), "key"))
+                asking = placed.groupBy("id").agg(largest.alias("own")).select("id", "own.*")
+            pairs = side(asking, "a", "x", "key").join(side(lead, "b", "y", "key"), "key").where((F.col("x") != F.col("y")) & close)
         pairs = tables.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         if tables.one:  # the comparisons are work for all
             pairs = pairs.repartition(partitions(members.sparkSession))
@@ -192,4 +195,4 @@ def _all_pairs(placed: DataFrame, tables: Kept, side: Callable, close: Column, p
     own = ("feature", "features", "keys")
     met = side(open_, "a", "x", *own).join(side(open_, "b", "y", *own), "feature")
     once = F.array_min(F.array_intersect("a_features", "b_features")) == F.col("feature")
-    return met.where(apart & F.arrays_overlap("a_keys", "b_keys") & once)
+    return met.where(apart & close & F.arrays_overlap("a_keys", "b_keys") & once)

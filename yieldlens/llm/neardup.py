@@ -15,7 +15,7 @@ from yieldlens.llm.links import components, link, shared_buckets, small
 SHINGLE = 5
 SIMILARITY = 0.8
 SAMPLES = 64
-#: A pair of exactly the threshold is missed by all bands with at most this probability.
+#: A pair of exactly the threshold is missed by all bands, and by the count of agreeing samples, with at most this probability each.
 MISSED = 0.0004
 PLANES = 4
 #: Words are counted in this many hashed places, so the table of document frequencies has a fixed size.
@@ -302,8 +302,8 @@ def near_duplicates(
     components. A document stays if its id is its class id.
 
     Words are ``[^\\x20\\x09-\\x0D]+``. Document frequencies of all words go to a table of fixed size. Each text
-    gives 64 weighted samples in bands. How many samples agree only guides who is compared first; in the end every pair of a
-    band is compared that isn't in one class already and shares one of its rarest shingles (``weighted_prefixes``). Equal texts are one node, their smallest id; texts that share
+    gives 64 weighted samples in bands; pairs of a band are compared if enough samples agree, both by ``threshold``. Of heavily edited groups, which
+    no leader settles, only pairs that share one of their rarest shingles are compared (``weighted_prefixes``, exact). Equal texts are one node, their smallest id; texts that share
     a band are linked as in ``links.link``, verified on the texts themselves.
 
     A null or wordless text is in a class of its own unless ids repeat. Rows with an equal id are one
