@@ -139,3 +139,23 @@ def test_prefixes_meet_for_all_similar_pairs(spark):
                 similar += 1
                 assert share
     assert similar > 20 and met < 0.4 * 90 * 89 / 2
+
+
+def test_heavily_edited_groups_by_prefixes(spark, monkeypatch):
+    """No leader turns at all: every link comes through prefixes and their reach; classes are those of all pairs."""
+    from yieldlens.llm import links
+
+    r = random.Random(4)
+    base = text_of(r, 120).split()
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for j in r.sample(range(120), r.randint(0, 9)):
+            own[j] = "x" + str(1000 * i + j)
+        rows.append((i, " ".join(own)))
+    usual = sorted(map(tuple, near_duplicates(documents(spark, rows)).collect()))
+    monkeypatch.setattr(links, "PAIRS_PER_MEMBER", -1)
+    monkeypatch.setattr(links, "LEADERS", 0)
+    assert sorted(map(tuple, near_duplicates(documents(spark, rows)).collect())) == usual
+    classes = [c for _, c in usual]
+    assert 1 < len(set(classes)) < 60

@@ -30,9 +30,10 @@ class Kept:
         self.one = one
         self.tables: list[tuple[DataFrame, DataFrame]] = []
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        table = stored(df.coalesce(1)) if self.one else stored(df)
-        shown = table.coalesce(1) if self.one else table
+    def keep(self, df: DataFrame, spread: bool = False) -> DataFrame:
+        one = self.one and not spread
+        table = stored(df.coalesce(1)) if one else stored(df)
+        shown = table.coalesce(1) if one else table
         self.tables.append((table, shown))
         return shown
 
@@ -102,14 +103,16 @@ def members_of(members: DataFrame, keys: DataFrame) -> DataFrame:
 def link(
     members: DataFrame, similar: Callable[[DataFrame], DataFrame], traits: DataFrame | None = None,
     near: Callable[[str, str], Column] | None = None, prefixes: Callable[[DataFrame], DataFrame] | None = None,
-    largest_first: bool = False,
+    reach: Column | None = None, largest_first: bool = False,
 ) -> DataFrame:
     """``id, root`` of the linked ids: components over all similar pairs that share a bucket.
 
     ``members`` are ``key, id`` from ``shared_buckets``; ``similar`` keeps the similar ones of pairs
     ``a, b``. ``traits`` are numbers of the ids; ``near("a_", "b_")`` is a condition on the
     traits of both sides, under which a pair is compared at all. It is part of the joins, so other pairs are not written.
-    ``prefixes(ids)`` gives ``id, feature`` such that similar ids share a feature.
+    ``prefixes(ids)`` gives ``id, feature, before, whole`` such that similar ids share a feature; ``before`` is what an id has
+    ahead of it in one order of all features. ``reach`` is a condition on these numbers of both sides (``a_before`` ...) at the
+    first feature they share.
 
     Comparing all pairs of a bucket of near copies would be quadratic, and most of
     them say nothing new. So first each bucket's members are compared with one leader,
@@ -150,7 +153,7 @@ def link(
         members = placed.drop("root", "bucket_size")
         last = turn == LEADERS or (turn > 0 and across <= PAIRS_PER_MEMBER * rows)
         if last:
-            pairs = _all_pairs(placed, tables, side, close, prefixes if across > PAIRS_PER_MEMBER * rows else None)
+            pairs = _all_pairs(placed, tables, side, close, prefixes if across > PAIRS_PER_MEMBER * rows else None, reach)
         else:
             # first whoever meets most others leads, then the lowest scrambled id
             rank = F.xxhash64("id", F.lit(turn)) if turn else F.struct(-F.col("met"), "id")
@@ -177,7 +180,7 @@ def link(
     return roots.where("id <> root")
 
 
-def _all_pairs(placed: DataFrame, tables: Kept, side: Callable, close: Column, prefixes: Callable | None) -> DataFrame:
+def _all_pairs(placed: DataFrame, tables: Kept, side: Callable, close: Column, prefixes: Callable | None, reach: Column | None) -> DataFrame:
     """Every pair of different components that shares a bucket and, if there are prefixes, a feature; each once."""
     keys = placed.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # as many as an id has bands
     held = placed.drop("key", "bucket_size").distinct().join(keys, "id")
@@ -189,10 +192,12 @@ def _all_pairs(placed: DataFrame, tables: Kept, side: Callable, close: Column, p
         met = side(open_, "a", "x", "key", "keys").join(side(open_, "b", "y", "key", "keys"), "key")
         # the smallest bucket they share names the pair
         return met.where(apart & close & (F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("key")))
-    found = tables.keep(prefixes(held.select("id")))
-    features = found.groupBy("id").agg(F.array_sort(F.collect_list("feature")).alias("features"))
-    open_ = tables.keep(held.join(features, "id").withColumn("feature", F.explode("features")))
-    own = ("feature", "features", "keys")
+    found = tables.keep(prefixes(held.select("id")), spread=True)
+    ordered = F.array_sort(F.collect_list(F.struct("before", "feature")))
+    features = found.groupBy("id").agg(F.transform(ordered, lambda f: f["feature"]).alias("features"))
+    open_ = tables.keep(held.join(found, "id").join(features, "id"), spread=True)
+    own = ("feature", "features", "keys", "before", "whole")
     met = side(open_, "a", "x", *own).join(side(open_, "b", "y", *own), "feature")
-    once = F.array_min(F.array_intersect("a_features", "b_features")) == F.col("feature")
-    return met.where(apart & close & F.arrays_overlap("a_keys", "b_keys") & once)
+    first = F.get(F.array_intersect("a_features", "b_features"), F.lit(0)) == F.col("feature")
+    reach = F.lit(True) if reach is None else reach
+    return met.where(apart & close & reach & F.arrays_overlap("a_keys", "b_keys") & first)

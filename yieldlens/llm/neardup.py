@@ -276,7 +276,7 @@ def _shingle_rows(idf):
 
 
 def weighted_prefixes(shingles: DataFrame, threshold: float) -> DataFrame:
-    """``id, feature``: of ``id, feature, weight`` the first shingles of each id, as many as weigh over ``1 - threshold`` of all.
+    """``id, feature, before, whole``: of ``id, feature, weight`` the first shingles of each id, as many as weigh over ``1 - threshold`` of all.
 
     All ids have one order, the rarest shingles (among these ids) first. Two ids of weighted Jaccard similarity
     ``threshold`` or more have that share of either's weight in common, so the first shingle they share is among the
@@ -289,7 +289,15 @@ def weighted_prefixes(shingles: DataFrame, threshold: float) -> DataFrame:
     whole = Window.partitionBy("id")
     reached = placed.withColumn("before", F.coalesce(F.sum("weight").over(before), F.lit(0.0))).withColumn("all", F.sum("weight").over(whole))
     # a little more than the bound, for sums in another order
-    return reached.where((F.col("before") <= F.col("all") * (1 - threshold + 1e-5)) & (F.col("n") > 1)).select("id", "feature")
+    return reached.where((F.col("before") <= F.col("all") * (1 - threshold + 1e-5)) & (F.col("n") > 1)).select(
+        "id", "feature", "before", F.col("all").alias("whole")
+    )
+
+
+def _within_reach(threshold: float) -> Column:
+    """What two ids can have in common from the first shingle they share on is enough for the threshold."""
+    left = F.least(F.col("a_whole") - F.col("a_before"), F.col("b_whole") - F.col("b_before"))
+    return left >= (F.col("a_whole") + F.col("b_whole")) * (threshold / (1 + threshold) * (1 - 1e-5))
 
 
 def near_duplicates(
@@ -303,7 +311,7 @@ def near_duplicates(
 
     Words are ``[^\\x20\\x09-\\x0D]+``. Document frequencies of all words go to a table of fixed size. Each text
     gives 64 weighted samples in bands; pairs of a band are compared if enough samples agree, both by ``threshold``. Of heavily edited groups, which
-    no leader settles, only pairs that share one of their rarest shingles are compared (``weighted_prefixes``, exact). Equal texts are one node, their smallest id; texts that share
+    no leader settles, only pairs are compared that share one of their rarest shingles and have weight enough from the first of these on (``weighted_prefixes``, exact). Equal texts are one node, their smallest id; texts that share
     a band are linked as in ``links.link``, verified on the texts themselves.
 
     A null or wordless text is in a class of its own unless ids repeat. Rows with an equal id are one
@@ -340,7 +348,7 @@ def near_duplicates(
         return weighted_prefixes(in_arrow(texts.join(ids, "id"), _shingle_rows(idf), "id long, feature long, weight double"), threshold)
 
     # a copy hangs on its text's node
-    roots = link(shared, similar, traits, lambda a, b: _agree(a, b, fewest), prefixes)
+    roots = link(shared, similar, traits, lambda a, b: _agree(a, b, fewest), prefixes, _within_reach(threshold))
     if member.groupBy("a").count().where("count > 1").isEmpty() and member.join(nodes, F.col("a") == F.col("id")).isEmpty():
         onward = roots.select(F.col("id").alias("b"), "root")
         copied = member.join(onward, "b", "left").select(F.col("a").alias("id"), F.coalesce("root", "b").alias("class_"))
