@@ -103,7 +103,7 @@ def members_of(members: DataFrame, keys: DataFrame) -> DataFrame:
 def link(
     members: DataFrame, similar: Callable[[DataFrame], DataFrame], traits: DataFrame | None = None,
     near: Callable[[str, str], Column] | None = None, prefixes: Callable[[DataFrame], DataFrame] | None = None,
-    reach: Column | None = None, largest_first: bool = False,
+    reach: Column | None = None, largest_first: bool = False, checks: int = PAIRS_PER_MEMBER,
 ) -> DataFrame:
     """``id, root`` of the linked ids: components over all similar pairs that share a bucket.
 
@@ -119,7 +119,8 @@ def link(
     a different one in each turn; what is similar becomes one component. With ``largest_first`` a member meets in the first turn
     the leader of its largest bucket only, which is enough for copies that share all of theirs. Pairs within a
     component need no comparison, and buckets of one component are done. When few pairs across components
-    are left (they are counted, not listed), all of them are compared, each once, so no link between components is lost. If many
+    are left (they are counted, not listed), all of them are compared, each once, so no link between components is lost. ``checks`` says
+    how many pairs a member may be left after the second leader, where ``near`` settles most of them inside the join. If many
     are left after the last leader, only those that share a feature are, which loses none either.
     """
     rows = members.count()
@@ -151,9 +152,10 @@ def link(
             break
         placed = tables.keep(placed.join(left.select("key", "bucket_size"), "key"))
         members = placed.drop("root", "bucket_size")
-        last = turn == LEADERS or (turn > 0 and across <= PAIRS_PER_MEMBER * rows)
+        few = across <= PAIRS_PER_MEMBER * rows or (turn > 1 and across <= checks * rows)
+        last = turn == LEADERS or (turn > 0 and few)
         if last:
-            pairs = _all_pairs(placed, tables, side, close, prefixes if across > PAIRS_PER_MEMBER * rows else None, reach)
+            pairs = _all_pairs(placed, tables, side, close, prefixes if not few else None, reach)
         else:
             # first whoever meets most others leads, then the lowest scrambled id
             rank = F.xxhash64("id", F.lit(turn)) if turn else F.struct(-F.col("met"), "id")
