@@ -95,12 +95,12 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_[at[0] : at[-1]], at - at[0]
 
 
-def pieces(at: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Cut texts into runs ``(first, last + 1)`` of about ``most`` bytes; a longer text stands alone."""
+def pieces(at: np.ndarray, most: int = 1 << 20, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Cut texts into runs ``(first, last + 1)`` of about ``most`` bytes and at most ``rows`` texts; a longer text stands alone."""
     first, n = 0, len(at) - 1
     while first < n:
         last = int(np.searchsorted(at, at[first] + most, side="right")) - 1
-        last = min(n, max(first + 1, last))
+        last = min(n, max(first + 1, last), first + rows)
         yield first, last
         first = last
 

@@ -48,7 +48,7 @@ def features(column: pa.Array, most: int = 1 << 19):
     Texts are lower-cased whole; runs of characters other than letters count as one blank.
     """
     data, at = text_buffer(pc.utf8_lower(column))
-    for first, last in pieces(at, most):
+    for first, last in pieces(at, most, 256):  # a text has a row of BUCKETS numbers, however short it is
         own, places = data[at[first] : at[last]], at[first : last + 1] - at[first]
         x = _LETTER[own]
         doc = np.repeat(np.arange(last - first, dtype=np.int64), np.diff(places))

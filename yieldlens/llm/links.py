@@ -188,9 +188,8 @@ def _all_pairs(placed: DataFrame, tables: Kept, side: Callable, close: Column, p
     held = placed.drop("key", "bucket_size").distinct().join(keys, "id")
     apart = F.col("x") < F.col("y")
     if prefixes is None:
-        open_ = tables.keep(held.withColumn("key", F.explode("keys")))
-        if not tables.one:
-            open_ = open_.repartition("key")
+        # comparing is the work here: spread it
+        open_ = tables.keep(held.withColumn("key", F.explode("keys")), spread=True).repartition("key")
         met = side(open_, "a", "x", "key", "keys").join(side(open_, "b", "y", "key", "keys"), "key")
         # the smallest bucket they share names the pair
         return met.where(apart & close & (F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("key")))
