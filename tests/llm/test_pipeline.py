@@ -48,6 +48,12 @@ def test_odd_rows(spark):
     assert named["substrings"](spark, docs, "").count() == len(rows)
 
 
+def test_rows_of_one_id_keep_their_texts(spark):
+    rows = [(5, "one text of its own", "en", "s", 19), (5, "quite another one", "en", "s", 17), (5, "quite another one", "en", "s", 17)]
+    found = dict(corpus_pipeline.STAGES)["near duplicates"](spark, spark.createDataFrame(rows, TABLE), "")
+    assert sorted(r["text"] for r in found.collect()) == ["one text of its own", "quite another one"]
+
+
 def test_empty_documents(spark):
     docs = spark.createDataFrame([], TABLE)
     for name, stage in corpus_pipeline.STAGES:
