@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from yieldlens.operators import guards as gu
 from yieldlens.operators import columns as co, reshape as re_, rows as ro, statistics as st, values as va
 from yieldlens.operators.clean import clean
 from yieldlens.plans.shared import (
@@ -211,9 +212,35 @@ def _(spark, sf_dir):
 
 @query("check_labels", "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag")
 def _(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem")
-    ro.check_labels(df, "l_returnflag")
-    return ro.class_counts(df, "l_returnflag")
+    return ro.check_labels(table(spark, sf_dir, "lineitem"), "l_returnflag")
+
+
+@query(
+    "input_guards",
+    "SELECT 'same process tables' AS case_name, count(*) > 0 AS raised FROM orders UNION ALL SELECT 'different tables', count(*) < 0 FROM orders UNION ALL "
+    "SELECT 'limits in order', min(l_quantity) > max(l_quantity) FROM lineitem UNION ALL SELECT 'limits reversed', max(l_quantity) > min(l_quantity) FROM lineitem UNION ALL "
+    "SELECT 'unknown control', count(*) > 0 FROM lineitem",
+)
+def _(spark, sf_dir):
+    """Which inputs the guards refuse: tables of the same rows, and limits taken from the data."""
+    x = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sheet_id"), "o_totalprice")
+    y = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sheet_id"), F.col("o_orderstatus").alias("judgement"))
+    low, high = table(spark, sf_dir, "lineitem").agg(F.min("l_quantity"), F.max("l_quantity")).first()
+    cases = {
+        "same process tables": lambda: gu.check_xy_inputs(x, x, compare_rows=True),
+        "different tables": lambda: gu.check_xy_inputs(x, y, compare_rows=True),
+        "limits in order": lambda: gu.check_bounds(["l_quantity"], ["l_quantity"], [[low], [high]]),
+        "limits reversed": lambda: gu.check_bounds(["l_quantity"], ["l_quantity"], [[high], [low]]),
+        "unknown control": lambda: gu.check_bounds(["l_quantity"], ["l_tax"], [[low], [high]]),
+    }
+    found = []
+    for name, check in cases.items():
+        try:
+            check()
+            found.append((name, False))
+        except ValueError:
+            found.append((name, True))
+    return spark.createDataFrame(found, "case_name string, raised boolean")
 
 
 @query(
