@@ -110,6 +110,29 @@ def test_one_hot(spark):
     assert [r[0] for r in items] == ["f=True,n=10,t=b", "f=False,n=9,t=nan", "f=nan,n=10,t=a"]
 
 
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_levels_of_any_number(spark, broadcast_bytes):
+    """3,000 levels, a hot one, nulls, -0.0, equal rows and columns named like the operator's own."""
+    lot = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 != 1, F.col("id") % 3000)
+    flat = F.when(F.col("id") % 2 == 0, 0.0).otherwise(-0.0)
+    df = spark.range(9000).select(lot.alias("lot"), flat.alias("value"), F.lit("x").alias("id"), (F.col("id") % 2 == 0).alias("ok"))
+    columns = ["lot", "value", "id", "ok"]
+    levels = va.level_table(df, columns)
+    lots = sorted({r.lot for r in df.select("lot").distinct().collect()} - {None})
+    wanted = [("lot", str(v)) for v in lots] + [("value", "0.0"), ("id", "x"), ("ok", "False"), ("ok", "True")]
+    assert [(r.column_name, r.value) for r in levels.table.orderBy("id").collect()] == wanted
+    place = {w: i for i, w in enumerate(wanted)}
+    got = va.encode_levels(df, columns, levels, broadcast_bytes=broadcast_bytes)
+    assert got.columns == [*df.columns, "ids"] and got.count() == 9000
+    for r in got.distinct().collect():
+        assert r.ids == [place[w] for w in [("lot", str(r.lot)), ("value", "0.0"), ("id", "x"), ("ok", str(r.ok))] if w in place]
+    dropped = va.level_table(df, columns, drop_first=True)
+    assert (dropped.width, dropped.starts[1]) == (len(wanted) - 4, len(lots) - 1)
+    vector = va.sparse_one_hot(df, columns)[0].select("features").first()[0]
+    assert vector.size == len(wanted) and set(vector.values) == {1.0}
+    assert va.level_table(df.limit(0), columns).width == 0
+
+
 def test_clean_sequence(spark):
     out = clean(wide(spark).drop("some rework_flag"))
     assert "fixed" not in out.columns and "empty" not in out.columns

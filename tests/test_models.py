@@ -48,6 +48,65 @@ def test_lasso_solver_against_the_dense_matrix():
             assert ours == pytest.approx(dense_lasso(x, z, penalty, positive), abs=1e-5)
 
 
+def dense_cv(x, z, folds, positive):
+    """Weights at the penalty with the least mean fold error, on the full matrix; centred unless positive."""
+    def fit(x, z, alpha, start):
+        shift = 0 if positive else x.mean(axis=0)
+        return im.coordinate_descent((x - shift).T @ (x - shift), (x - shift).T @ (z - (0 if positive else z.mean())), len(z) * alpha, positive, start)
+
+    grid = np.abs(x.T @ z).max() / len(z) * np.logspace(0, np.log10(im.ALPHA_RATIO), im.ALPHAS)
+    errors = np.zeros(len(grid))
+    for f in np.unique(folds):
+        held, w = folds == f, np.zeros(x.shape[1])
+        for k, alpha in enumerate(grid):
+            w = fit(x[~held], z[~held], alpha, w)
+            b = 0 if positive else z[~held].mean() - x[~held].mean(axis=0) @ w
+            errors[k] += np.mean((z[held] - x[held] @ w - b) ** 2)
+    return fit(x, z, grid[int(np.argmin(errors))], np.zeros(x.shape[1]))
+
+
+def test_lasso_with_an_intercept_against_the_dense_matrix(spark):
+    """Every level pulls downwards, so the fit is repeated with an intercept."""
+    tool, step = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)), F.pmod(F.xxhash64("id", F.lit(2)), F.lit(3))
+    df = spark.range(300).select("id", tool.alias("tool"), step.alias("step"), (9.0 - F.when(tool > 0, 4 + tool).otherwise(0) - F.when(step > 0, 3).otherwise(0) + uniform(5)).alias("y"))
+    got = {r.OPID_TOOLID: r.IndexValue for r in im.rank_features_lasso(df, ["tool", "step"], "y", order=[F.col("id").asc()]).collect()}
+    rows = df.orderBy("id").collect()
+    x = np.array([[float(r.tool == k) for k in (1, 2, 3)] + [float(r.step == k) for k in (1, 2)] for r in rows])
+    y = np.array([r.y for r in rows])
+    names = ["tool_1", "tool_2", "tool_3", "step_1", "step_2"]
+    z = (y - y.mean()) / y.std()
+    folds = np.repeat(np.arange(5), 60)
+    assert not dense_cv(x, z, folds, positive=True).any() and min(got.values()) < 0
+    weights = dense_cv(x, z, folds, positive=False)
+    assert got == pytest.approx({c: w for c, w in zip(names, weights) if round(float(w), 4) != 0}, abs=1e-4)
+
+
+@pytest.mark.parametrize("levels", [3_000, 100_000])
+def test_lasso_of_many_levels(spark, levels):
+    """As many levels as a column may have; a third of the rows hold one value, and one tool is planted."""
+    lot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(levels)))
+    tool = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5))
+    df = spark.range(2 * levels).select("id", lot.alias("lot"), tool.alias("tool"), (uniform(3) + F.when(tool == 2, 3.0).otherwise(0.0)).alias("loss"))
+    best = im.rank_features_lasso(df, ["lot", "tool"], "loss", key=["id"]).first()
+    assert best.OPID_TOOLID == "tool_2" and best.IndexValue > 1
+
+
+@pytest.mark.parametrize("positive", [True, False])
+def test_block_descent_against_the_dense_matrix(positive):
+    draw = np.random.default_rng(2)
+    picked = [draw.integers(-1, 4, 200), draw.integers(-1, 3, 200)]  # -1: the level left out
+    x = np.hstack([picked[0][:, None] == np.arange(4), picked[1][:, None] == np.arange(3)]).astype(float)
+    z = x @ draw.normal(size=7) + draw.normal(size=200)
+    gram = x.T @ x
+    i, j = np.nonzero(np.triu(gram))
+    block = im.BlockGram([0, 4, 7], i, j, gram[i, j])
+    w = block.lasso(x.T @ z, np.full(7, 5.0), positive, np.zeros(7))
+    assert w == pytest.approx(im.coordinate_descent(gram, x.T @ z, 5.0, positive, np.zeros(7)), abs=1e-7)
+    pull = x.T @ z - gram @ w  # the conditions of an optimum
+    assert (pull[w == 0] <= 5 + 1e-6).all() and pull[w != 0] == pytest.approx(5 * np.sign(w[w != 0]), abs=1e-5)
+    assert block.times(w) == pytest.approx(gram @ w)
+
+
 @pytest.mark.parametrize("ordered", [True, False])
 def test_lasso_finds_the_planted_tool(spark, ordered):
     df = factory(spark)
@@ -60,11 +119,7 @@ def test_lasso_finds_the_planted_tool(spark, ordered):
         x = np.array([[float(f"tool_{r.tool}" == c or f"step_{r.step}" == c) for c in names] for r in rows])
         y = np.array([r.loss for r in rows])
         folds = np.repeat(np.arange(5), len(rows) // 5)
-        moments = im._moments(
-            spark.createDataFrame([(int(f), [int(j) for j in np.flatnonzero(v)], float(t)) for f, v, t in zip(folds, x, y)], "_fold int, ids array<int>, y double"),
-            len(names), 5,
-        )
-        weights = im._cv_lasso(moments, y.mean(), y.std(), True, False)
+        weights = dense_cv(x, (y - y.mean()) / y.std(), folds, positive=True)
         got = {r.OPID_TOOLID: r.IndexValue for r in found}
         assert got == {c: round(float(w), 4) for c, w in zip(names, weights) if round(float(w), 4) != 0}
 

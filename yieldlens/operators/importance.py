@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from yieldlens.operators import columns as co, ordered, ranks as rk, statistics as st, trees as tr, values as va
+from yieldlens.session import cut_lineage, importable
 
 # Forest sizes and seeds, lasso grid and folds.
 RANK_TREES, RANK_SEED = 1024, 42
 SELECT_TREES, SELECT_SEED = 100, 11850
 ALPHAS, ALPHA_RATIO, FOLDS = 100, 1e-3, 5
 
-MAX_DUMMIES = 3000
 RANK_SCHEMA = f"{rk.METHOD} string, {rk.LABEL} string, {rk.VALUE} double"
 
 
@@ -70,40 +72,16 @@ def _fold(df: DataFrame, order: Sequence[Column] | None, key: Sequence[str] | No
     return df.withColumn("_fold", F.pmod(F.xxhash64(*[st.quoted(c) for c in key]), F.lit(folds)).cast("int"))
 
 
-def _moments(rows: DataFrame, p: int, folds: int):
-    """Per fold: count, sum y, sum y^2, X'1, X'y, X'X of 0/1 columns, from one pass over the rows.
+def _facts(rows: DataFrame, folds: int) -> DataFrame:
+    """i, j (i <= j) of every two ids that a row holds, with n0.. rows and s0.. sums of y by fold.
 
-    ``rows``: _fold, ids (the columns that are 1), y. Equal rows collapse before pairs are written.
+    ``rows``: _fold, ids (the indicators that are 1, rising), n, s. One map-side combined aggregation.
     """
-    patterns = rows.groupBy("_fold", "ids").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("ss")
-    ).persist()
-    sizes = patterns.groupBy("_fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss")).toPandas()
-    singles = (
-        patterns.select("_fold", F.explode("ids").alias("i"), "n", "s")
-        .groupBy("_fold", "i").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).toPandas()
-    )
     pairs = F.flatten(
-        F.transform("ids", lambda x, i: F.transform(F.slice("ids", i + 2, F.size("ids")), lambda y: F.struct(x.alias("i"), y.alias("j"))))
-    )
-    both = (
-        patterns.select("_fold", F.explode(pairs).alias("pair"), "n")
-        .groupBy("_fold", "pair.i", "pair.j").agg(F.sum("n").alias("n")).toPandas()
+        F.transform("ids", lambda x, i: F.transform(F.slice("ids", i + 1, F.size("ids")), lambda y: F.struct(x.alias("i"), y.alias("j"))))
     )
-    patterns.unpersist()
-    count, total, square = np.zeros(folds), np.zeros(folds), np.zeros(folds)
-    ones, cross, gram = np.zeros((folds, p)), np.zeros((folds, p)), np.zeros((folds, p, p))
-    f = sizes["_fold"].to_numpy()
-    count[f], total[f], square[f] = sizes["n"], sizes["s"], sizes["ss"]
-    if len(singles):
-        f, i = singles["_fold"].to_numpy(), singles["i"].to_numpy()
-        ones[f, i], cross[f, i] = singles["n"], singles["s"]
-        gram[f, i, i] = singles["n"]
-    if len(both):
-        f, i, j = (both[c].to_numpy() for c in ("_fold", "i", "j"))
-        gram[f, i, j] = both["n"]
-        gram[f, j, i] = both["n"]
-    return count, total, square, ones, cross, gram
+    sums = [F.sum(F.when(F.col("_fold") == f, F.col(c)).otherwise(0)).alias(f"{c}{f}") for c in ("n", "s") for f in range(folds)]
+    return rows.select("_fold", "n", "s", F.explode(pairs).alias("pair")).groupBy("pair.i", "pair.j").agg(*sums)
 
 
 def coordinate_descent(gram, cross, penalty: float, positive: bool, start, max_iterations: int = 10_000, tolerance: float = 1e-9):
@@ -128,43 +106,137 @@ def coordinate_descent(gram, cross, penalty: float, positive: bool, start, max_i
     return w
 
 
-def _cv_lasso(moments, mean: float, std: float, positive: bool, intercept: bool):
-    """Weights at the penalty with the least mean fold error."""
-    count, total, square, ones, cross, gram = moments
-    # scaled response: z = (y - mean) / std
-    z_square = (square - 2 * mean * total + count * mean**2) / std**2
-    z_total = (total - mean * count) / std
-    z_cross = (cross - mean * ones) / std
-
-    def system(take):
-        n, g, c = count[take].sum(), gram[take].sum(axis=0), z_cross[take].sum(axis=0)
-        x_mean, z_mean = ones[take].sum(axis=0) / n, z_total[take].sum() / n
-        if not intercept:
-            return n, g, c, np.zeros_like(x_mean), 0.0
-        return n, g - n * np.outer(x_mean, x_mean), c - n * x_mean * z_mean, x_mean, z_mean
-
-    everything = np.ones(len(count), dtype=bool)
-    n, g, c, _, _ = system(everything)
-    top = np.abs(c).max(initial=0.0) / n
+class BlockGram:
+    """Cross products of indicators: none inside a column but the diagonal, across columns the pairs that occur.
+
+    ``starts`` are the columns' first ids and the number of ids. With ``ones`` (rows) there is one more
+    indicator that is always 1, for the intercept.
+    """
+
+    def __init__(self, starts: Sequence[int], i: np.ndarray, j: np.ndarray, n: np.ndarray, ones: float | None = None):
+        p = starts[-1]
+        edges = np.unique(np.asarray(starts if ones is None else [*starts, p + 1]))
+        self.size = int(edges[-1])
+        self.diagonal = np.zeros(self.size)
+        same = i == j
+        self.diagonal[i[same]] = n[same]
+        i, j, n = i[~same], j[~same], n[~same].astype(float)
+        if ones is not None:
+            every = np.flatnonzero(self.diagonal)
+            i, j, n = np.r_[i, every], np.r_[j, np.full(len(every), p)], np.r_[n, self.diagonal[every]]
+            self.diagonal[p] = ones
+        rows, columns, values = np.r_[i, j], np.r_[j, i], np.r_[n, n]
+        order = np.argsort(columns, kind="stable")
+        rows, columns, values = rows[order], columns[order], values[order]
+        cuts = np.searchsorted(columns, edges)
+        self.blocks = [
+            (a, b, rows[u:v], columns[u:v] - a, values[u:v]) for a, b, u, v in zip(edges[:-1], edges[1:], cuts[:-1], cuts[1:])
+        ]
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        out = self.diagonal * w
+        for a, b, rows, columns, values in self.blocks:
+            out += np.bincount(rows, weights=values * w[a:b][columns], minlength=self.size)
+        return out
+
+    def lasso(self, cross, penalty, positive: bool, start, max_iterations: int = 10_000, tolerance: float = 1e-9) -> np.ndarray:
+        """Lasso weights for 1/2 w'Gw - c'w + penalty |w|, ``penalty`` by indicator.
+
+        Indicators of one column never meet in a row, so a column's weights are solved all at once, exactly.
+        """
+        w = start.copy()
+        slack = cross - self.times(w)
+        for _ in range(max_iterations):
+            moved = 0.0
+            for a, b, rows, columns, values in self.blocks:
+                d = self.diagonal[a:b]
+                pull = slack[a:b] + d * w[a:b]
+                size = pull if positive else np.abs(pull)
+                new = np.divide(np.maximum(size - penalty[a:b], 0.0), d, out=np.zeros(b - a), where=d > 0)
+                if not positive:
+                    new *= np.sign(pull)
+                step = new - w[a:b]
+                if step.any():
+                    slack[a:b] -= d * step
+                    slack -= np.bincount(rows, weights=values * step[columns], minlength=self.size)
+                    w[a:b] = new
+                    moved = max(moved, float(np.abs(step).max()))
+            if moved <= tolerance * max(1.0, float(np.abs(w).max(initial=0.0))):
+                break
+        return w
+
+
+def _cv_lasso(facts: DataFrame, sizes: dict, starts: Sequence[int], positive: bool, intercept: bool) -> DataFrame:
+    """id, w: weights other than 0 at the penalty with the least mean fold error.
+
+    ``facts``: see ``_facts``; ``sizes``: rows, sum and sum of squares of y by fold. A task solves the path of one
+    left-out fold on the sparse cross products; the driver sees the errors, folds x penalties numbers.
+    """
+    spark = facts.sparkSession
+    folds = [f for f in sizes if sizes[f][0]]
+    n, total, square = (sum(sizes[f][k] for f in folds) for k in range(3))
+    mean = total / n
+    std = float(np.sqrt(max(square / n - mean**2, 0.0))) or 1.0
+    p = starts[-1]
+
+    def scaled(count, s, ss):  # z = (y - mean) / std: sum, sum of squares
+        return (s - mean * count) / std, (ss - 2 * mean * s + count * mean**2) / std**2
+
+    def all_of(name: str) -> Column:
+        return functools.reduce(Column.__add__, [F.col(f"{name}{f}") for f in folds])
+
+    pull = F.abs((all_of("s") - F.lit(mean) * all_of("n")) / F.lit(std))
+    top = (facts.where("i = j").agg(F.max(pull)).first()[0] or 0.0) / n
     if top <= np.finfo(float).eps:
-        return np.zeros(g.shape[0])
+        return spark.createDataFrame([], "id int, w double")
     grid = top * np.logspace(0, np.log10(ALPHA_RATIO), ALPHAS)
-    errors = []
-    for f in np.flatnonzero(count):
-        take = everything.copy()
-        take[f] = False
-        tn, tg, tc, x_mean, z_mean = system(take)
-        w, path = np.zeros(len(tc)), []
+    free = np.r_[np.ones(p), 0.0] if intercept else np.ones(p)  # the intercept has no penalty
+
+    def system(i, j, count, s, rows, z):
+        gram = BlockGram(starts, i, j, count, rows if intercept else None)
+        cross = np.zeros(gram.size)
+        same = i == j
+        cross[i[same]] = (s[same] - mean * count[same]) / std
+        if intercept:
+            cross[p] = z
+        return gram, cross
+
+    def path(part: pd.DataFrame) -> pd.DataFrame:
+        f = int(part["task"].iloc[0])
+        i, j = part["i"].to_numpy(), part["j"].to_numpy()
+        rows, s, ss = sizes[f]
+        z, zz = scaled(rows, s, ss)
+        own, own_cross = system(i, j, part["own_n"].to_numpy(), part["own_s"].to_numpy(), rows, z)
+        rest = part["all_n"].to_numpy() - part["own_n"].to_numpy()
+        gram, cross = system(i, j, rest, part["all_s"].to_numpy() - part["own_s"].to_numpy(), n - rows, scaled(n, total, square)[0] - z)
+        w, errors = np.zeros(gram.size), []
         for alpha in grid:
-            w = coordinate_descent(tg, tc, tn * alpha, positive, w)
-            b = z_mean - x_mean @ w
-            residual = (
-                z_square[f] - 2 * (w @ z_cross[f]) + w @ gram[f] @ w - 2 * b * z_total[f] + 2 * b * (w @ ones[f]) + count[f] * b * b
-            )
-            path.append(residual / count[f])
-        errors.append(path)
-    best = grid[int(np.argmin(np.mean(errors, axis=0)))]
-    return coordinate_descent(g, c, n * best, positive, np.zeros(len(c)))
+            w = gram.lasso(cross, (n - rows) * alpha * free, positive, w)
+            errors.append((zz - 2 * (w @ own_cross) + w @ own.times(w)) / rows)
+        return pd.DataFrame({"task": [f], "errors": [errors]})
+
+    own = [F.when(F.col("task") == f, F.struct(F.col(f"n{f}").alias("n"), F.col(f"s{f}").alias("s"))) for f in folds]
+    dealt = (
+        facts.select("*", F.explode(F.array(*[F.lit(f) for f in folds])).alias("task"), all_of("n").alias("all_n"), all_of("s").alias("all_s"))
+        .withColumn("_own", F.coalesce(*own))
+        .select("task", "i", "j", "all_n", "all_s", F.col("_own.n").alias("own_n"), F.col("_own.s").alias("own_s"))
+        .repartitionByRange(len(folds), "task")  # a given number of tasks, which aren't merged again
+    )
+    if len(folds) > 1:
+        found = dealt.groupBy("task").applyInPandas(path, "task int, errors array<double>").collect()
+        best = grid[int(np.argmin(np.mean([r["errors"] for r in sorted(found)], axis=0)))]
+    else:
+        best = grid[0]  # nothing to judge by
+
+    def whole(part: pd.DataFrame) -> pd.DataFrame:
+        z = scaled(n, total, square)[0]
+        gram, cross = system(*[part[c].to_numpy() for c in ("i", "j", "all_n", "all_s")], n, z)
+        w = gram.lasso(cross, n * best * free, positive, np.zeros(gram.size))[:p]
+        held = np.flatnonzero(w)
+        return pd.DataFrame({"id": held.astype("int32"), "w": w[held]})
+
+    everything = facts.select(F.lit(0).alias("task"), "i", "j", all_of("n").alias("all_n"), all_of("s").alias("all_s"))
+    return cut_lineage(everything.groupBy("task").applyInPandas(whole, "id int, w double"))
 
 
 def rank_features_lasso(
@@ -174,42 +246,39 @@ def rank_features_lasso(
     order: Sequence[Column] | None = None,
     key: Sequence[str] | None = None,
     folds: int = FOLDS,
-    max_levels: int = 1000,
-    max_dummies: int = MAX_DUMMIES,
 ) -> DataFrame:
     """Method, OPID_TOOLID, IndexValue: cross-validated lasso weights of the indicator columns.
 
     Every distinct value of every feature, numbers too, is an indicator, the first sorted
-    level left out. Weights are kept non-negative; when all are 0 the fit is repeated
-    unconstrained with an intercept. The data are read once: all folds and penalties work
-    on the folds' moment matrices.
+    level left out; there may be any number. Weights are kept non-negative; when all are 0 the fit is repeated
+    unconstrained with an intercept. Equal rows collapse, the rows are read once, and all folds and penalties work
+    on the counts of the pairs of levels that occur. A task holds those pairs, 24 bytes each.
     """
-    levels = va.category_levels(df, features, max_levels)
-    names, codes = [], []
-    for c in features:
-        code = None
-        for v in levels[c][1:]:
-            match = st.quoted(c) == F.lit(v)
-            index = F.lit(len(names))
-            code = F.when(match, index) if code is None else code.when(match, index)
-            names.append(f"{c}_{va.level_text(v)}")
-        if code is not None:
-            codes.append(code)
-    if len(names) > max_dummies:
-        raise ValueError(f"{len(names)} indicators; at most {max_dummies} fit the moment matrix")
     spark = df.sparkSession
-    if not names:
+    importable(spark)
+    safe = [f"_c{i}" for i in range(len(features))]
+    cells = [st.quoted(c).alias(s) for c, s in zip(features, safe)]
+    levels = va.level_table(df.select(*cells), safe, drop_first=True)
+    if not levels.width:
         return spark.createDataFrame([], RANK_SCHEMA)
-    folded = _fold(df, order, key, folds)
-    rows = folded.select("_fold", F.array_compact(F.array(*codes)).alias("ids"), st.quoted(target).cast("double").alias("y"))
-    moments = _moments(rows, len(names), folds)
-    n, total, square = moments[0].sum(), moments[1].sum(), moments[2].sum()
-    mean = total / n
-    std = float(np.sqrt(max(square / n - mean**2, 0.0))) or 1.0
-    weights = _cv_lasso(moments, mean, std, positive=True, intercept=False)
-    if not weights.any():
-        weights = _cv_lasso(moments, mean, std, positive=False, intercept=True)
-    return _rank_table(spark, "Lasso", names, weights)
+    y = F.col("_y")
+    patterns = (
+        _fold(df, order, key, folds).select("_fold", *cells, st.quoted(target).cast("double").alias("_y"))
+        .groupBy("_fold", *safe).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("ss"))
+    )
+    rows = cut_lineage(va.encode_levels(patterns, safe, levels).select("_fold", "ids", "n", "s", "ss"))
+    found = rows.groupBy("_fold").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")]).collect()
+    sizes = {r["_fold"]: (r["n"], r["s"] or 0.0, r["ss"] or 0.0) for r in sorted(found)}
+    facts = cut_lineage(_facts(rows.fillna(0.0, ["s"]), folds))
+    weights = _cv_lasso(facts, sizes, levels.starts, positive=True, intercept=False)
+    if weights.isEmpty():
+        weights = _cv_lasso(facts, sizes, levels.starts, positive=False, intercept=True)
+    names = F.create_map(*[F.lit(x) for pair in zip(safe, features) for x in pair])
+    label = F.concat(names[F.col("column_name")], F.lit("_"), F.col("value"))
+    ranks = weights.join(levels.table, "id").select(
+        F.lit("Lasso").alias(rk.METHOD), label.alias(rk.LABEL), F.bround("w", 4).alias(rk.VALUE)
+    )
+    return rk.sort_ranks(ranks.where(F.col(rk.VALUE) != 0), rk.VALUE, rk.LABEL, absolute=True)
 
 
 def _rank_table(spark, method: str, names: Sequence[str], values) -> DataFrame:

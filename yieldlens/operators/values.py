@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from yieldlens.operators import columns as co, statistics as st
-from yieldlens.operators.ordered import join_on
+from yieldlens.operators.ordered import join_on, with_ordinal
+from yieldlens.session import cut_lineage
+
+BROADCAST_BYTES = 32 << 20
+SALTS = 32
 
 
 def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
@@ -148,20 +153,94 @@ def one_hot(
     return df.select(*[st.quoted(c) for c in df.columns if c not in columns], *dummies)
 
 
-def sparse_one_hot(df: DataFrame, columns: Sequence[str], output: str = "features"):
-    """Indicators as one sparse vector, for columns of high cardinality: (frame, fitted pipeline)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-
-    indexes, vectors = [f"_{c}_index" for c in columns], [f"_{c}_vector" for c in columns]
-    model = Pipeline(
-        stages=[
-            StringIndexer(inputCols=list(columns), outputCols=indexes, stringOrderType="alphabetAsc", handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexes, outputCols=vectors, dropLast=True),
-            VectorAssembler(inputCols=vectors, outputCol=output),
-        ]
-    ).fit(df)
-    return model.transform(df).drop(*indexes, *vectors), model
+@dataclass(frozen=True)
+class Levels:
+    """``table``: column_name, value (as text), id; the ids of a column are the next to those of the column before it.
+
+    ``starts``: first id of each column and, last, the number of ids; ``size``: bytes of the texts by column.
+    """
+
+    table: DataFrame
+    starts: list[int]
+    size: dict[str, int]
+
+    @property
+    def width(self) -> int:
+        return self.starts[-1]
+
+
+def level_value(value: Column, kind: str) -> Column:
+    """A value as text, so that equal values have equal texts; null stays null."""
+    if kind in ("double", "float"):
+        value = F.when(value == 0, F.lit(0.0).cast(kind)).otherwise(value)  # -0.0 equals 0.0
+    text = value.cast("string")
+    return F.initcap(text) if kind == "boolean" else text
+
+
+def level_table(df: DataFrame, columns: Sequence[str], drop_first: bool = False) -> Levels:
+    """Number the distinct values of all columns, in sorted order column by column; null is no value.
+
+    Values are counted, sorted and numbered on executors, however many there are; the driver gets one
+    row a column. ``drop_first`` leaves out the first value of each column.
+    """
+    types = dict(df.dtypes)
+    parts = []
+    for kind in sorted({types[c] for c in columns}):
+        group = [c for c in columns if types[c] == kind]
+        values = cut_lineage(st.value_counts(df, group, kind).drop("n"))
+        placed = with_ordinal(values, ["column_name"], [F.col("value").asc()], "_rank")
+        parts.append(placed.select("column_name", level_value(F.col("value"), kind).alias("value"), "_rank"))
+    if not parts:
+        return Levels(df.sparkSession.createDataFrame([], "column_name string, value string, id int"), [0], {})
+    first = 1 if drop_first else 0
+    ranked = cut_lineage(functools.reduce(DataFrame.unionByName, parts).where(F.col("_rank") >= first))
+    rows = ranked.groupBy("column_name").agg(F.count("*").alias("n"), F.sum(F.octet_length("value") + 64).alias("size")).collect()
+    counts, size = {r["column_name"]: r["n"] for r in rows}, {r["column_name"]: r["size"] for r in rows}
+    starts = [0]
+    for c in columns:
+        starts.append(starts[-1] + counts.get(c, 0))
+    offset = F.create_map(*[F.lit(x) for c, s in zip(columns, starts) for x in (c, s - first)])
+    table = ranked.select("column_name", "value", (F.col("_rank") + offset[F.col("column_name")]).cast("int").alias("id"))
+    return Levels(table, starts, size)
+
+
+def encode_levels(
+    df: DataFrame, columns: Sequence[str], levels: Levels, output: str = "ids",
+    broadcast_bytes: int = BROADCAST_BYTES, salts: int = SALTS,
+) -> DataFrame:
+    """Add the rising ids of a row's values as one array; values that are null or not in ``levels`` have none.
+
+    A column's levels are broadcast up to ``broadcast_bytes``, as counted; beyond, the join is salted by the
+    row's other values, since one value may be in a third of all rows.
+    """
+    types = dict(df.dtypes)
+    texts = {c: level_value(st.quoted(c), types[c]) for c in columns}
+    salt = F.pmod(F.xxhash64(*[st.quoted(c) for c, kind in df.dtypes if not kind.startswith("map")]), F.lit(salts)).cast("int")
+    coded = df.withColumns({f"_text{i}": text for i, text in enumerate(texts.values())}).withColumn("_salt", salt)
+    for i, c in enumerate(columns):
+        own = levels.table.where(F.col("column_name") == c).select(F.col("value").alias("_level"), F.col("id").alias(f"_id{i}"))
+        match = F.col(f"_text{i}") == F.col("_level")
+        if levels.size.get(c, 0) <= broadcast_bytes:
+            own = F.broadcast(own)
+        else:
+            own = own.withColumn("_level_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            match = match & (F.col("_salt") == F.col("_level_salt"))
+        coded = coded.join(own, match, "left").drop("_level", "_level_salt")
+    ids = [F.col(f"_id{i}") for i in range(len(columns))]
+    return coded.withColumn(output, F.array_compact(F.array(*ids) if ids else F.array().cast("array<int>"))).drop(
+        "_salt", *[f"_text{i}" for i in range(len(columns))], *[f"_id{i}" for i in range(len(columns))]
+    )
+
+
+def sparse_one_hot(df: DataFrame, columns: Sequence[str], output: str = "features") -> tuple[DataFrame, Levels]:
+    """Indicators as one sparse vector, for any number of levels: (frame, levels); null gives all zeros."""
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
+    levels = level_table(df, columns)
+    width = levels.width
+    vector = F.udf(lambda ids: Vectors.sparse(width, ids, [1.0] * len(ids)), VectorUDT())
+    coded = encode_levels(df, columns, levels, "_ids")
+    return coded.withColumn(output, vector("_ids")).drop("_ids"), levels
 
 
 def item_value(df: DataFrame, column: str) -> Column:
