@@ -37,7 +37,7 @@ def brute(rows, min_support, max_length=3):
     return found
 
 
-@pytest.mark.parametrize("options", [{}, {"sets_per_row": 1}, {"sets_per_row": 1, "max_pair_literals": 1}])
+@pytest.mark.parametrize("options", [{}, {"sets_per_row": 1}, {"sets_per_row": 1, "broadcast_bytes": 0, "salts": 3}])
 def test_itemsets_against_brute_force(spark, options):
     df = table(spark)
     found = {(r.Y, tuple(r["items"])): (r.n, r.support, r.NG_Ratio) for r in ru.frequent_itemsets(df, ITEMS, "Y", 0.3, **options).collect()}
@@ -100,9 +100,10 @@ def test_mine_rules_tables(spark):
         assert lengths == sorted(lengths)
 
 
-def test_groups_are_mined_apart(spark):
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "salts": 3, "sets_per_row": 1}])
+def test_groups_are_mined_apart(spark, options):
     df = table(spark).withColumn("file", F.when(F.col("a") == 1, "one").otherwise("two")).drop("op_rework_flag")
-    both = ru.mine_rules(df, "Y", by="file", min_support=0.2, min_confidence=0.2)
+    both = ru.mine_rules(df, "Y", by="file", min_support=0.2, min_confidence=0.2, **options)
     for name in ("one", "two"):
         alone = ru.mine_rules(df.where(F.col("file") == name).drop("file"), "Y", min_support=0.2, min_confidence=0.2)
         assert sorted(both.where(F.col("file") == name).drop("file").collect()) == sorted(alone.collect())

@@ -3,7 +3,7 @@
 Support, confidence, lift and defect ratio all come from one count table of item
 sets: for each set the rows of every class that hold it. Rows are first pruned to
 items that are frequent in some class. There are at most 1/min_support such items per
-column, class and group, which bounds what the driver holds.
+column, class and group. A group's items are one row of a table; the driver holds none.
 """
 
 from __future__ import annotations
@@ -22,22 +22,28 @@ MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT, MAX_LENGTH = 0.5, 0.5, 1.000001, 3
 NEGATIVE, POSITIVE = 0, 1
 
 SETS_PER_ROW = 256
-MAX_PAIR_LITERALS = 20_000
 BROADCAST_RULES = 100_000
 SALTS = 32
 
 
 @dataclass(frozen=True)
 class ItemCounts:
-    """``table``: _by, ids, size, n_all, n_neg, n_pos; ``totals``: _by, rows_all, rows_neg, rows_pos."""
+    """``table``: _by, ids, size, n_all, n_neg, n_pos; ``totals``: _by, rows_all, rows_neg, rows_pos.
+
+    ``book``: _by and ``_items``, the group's frequent items (name, value), which ids number from 0.
+    """
 
     table: DataFrame
     totals: DataFrame
-    items: list[tuple[str, str]]
+    book: DataFrame
+
+    def named(self, sets: DataFrame) -> DataFrame:
+        """``sets`` with the items of their group."""
+        return sets.join(self.book, "_by")
 
-    def text(self, ids: Column) -> Column:
-        names = F.array(*[F.lit(f"{c}={v}") for c, v in self.items])
-        return F.array_sort(F.transform(ids, lambda i: F.element_at(names, i + 1)))
+
+def item_texts(ids: Column) -> Column:
+    return F.array_sort(F.transform(ids, lambda i: F.element_at(F.col("_items.name"), i + 1)))
 
 
 def _class_counts() -> list[Column]:
@@ -59,16 +65,16 @@ def _frequent(min_support: float) -> Column:
     )
 
 
-def _subsets(ids: Column, size: int, pairs: set[int] | None, width: int) -> Column:
-    """Arrays of ``size`` ids in row order whose members are pairwise in ``pairs`` (any when None)."""
+def _subsets(ids: Column, size: int, pairs: Column | None) -> Column:
+    """Arrays of ``size`` ids in row order; where ``pairs`` maps an id to its partners, only of ids that are pairwise partners."""
     if size == 1:
         return F.transform(ids, lambda x: F.array(x))
 
     def extend(x: Column, i: Column) -> Column:
         rest = F.slice(ids, i + 2, F.size(ids))
         if pairs is not None:
-            rest = F.filter(rest, lambda y: (x.cast("long") * width + y).isin(list(pairs)))
-        return F.transform(_subsets(rest, size - 1, pairs, width), lambda s: F.concat(F.array(x), s))
+            rest = F.array_intersect(rest, F.coalesce(F.try_element_at(pairs, x), F.array().cast("array<int>")))
+        return F.transform(_subsets(rest, size - 1, pairs), lambda s: F.concat(F.array(x), s))
 
     return F.flatten(F.transform(ids, extend))
 
@@ -83,9 +89,14 @@ def item_counts(
     positive=POSITIVE,
     by: str | None = None,
     sets_per_row: int = SETS_PER_ROW,
-    max_pair_literals: int = MAX_PAIR_LITERALS,
+    broadcast_bytes: int = va.BROADCAST_BYTES,
+    salts: int = SALTS,
 ) -> ItemCounts:
-    """Counts of every item set of up to ``max_length`` items that is frequent in some class (and group)."""
+    """Counts of every item set of up to ``max_length`` items that is frequent in some class (and group).
+
+    A group's frequent items, at most 2 / min_support a column, and later its frequent pairs are one row of a table that
+    joins the group's rows: broadcast where all groups' rows are counted to be at most ``broadcast_bytes``, else with salts.
+    """
     label = st.quoted(y).cast("string")
     # collapse on the raw cells, then write them as text
     raw = st.collapse(df.select(*[st.quoted(c) for c in dict.fromkeys([*([by] if by else []), y, *item_columns])]))
@@ -104,32 +115,27 @@ def item_counts(
     # every row has one value in the first column, so its counts add up to the class sizes
     totals = cell_counts.where("c = 0").groupBy("_by").agg(*[F.sum(c).alias(f"rows_{c}") for c in ("all", "neg", "pos")])
     singles = cell_counts.select("_by", "c", "v", *_named("n")).join(totals, "_by").where(_frequent(min_support))
-    if by is None:
-        rows = singles.select("c", "v", "rows_all", "rows_neg", "rows_pos").collect()
-        found = sorted((r.c, r.v) for r in rows)
-        sizes = rows[0][2:] if rows else (0, 0, 0)
-        totals = df.sparkSession.createDataFrame([("", *sizes)], "_by string, rows_all long, rows_neg long, rows_pos long")
-    else:
-        totals = cut_lineage(totals)
-        found = sorted((r.c, r.v) for r in singles.select("c", "v").distinct().collect())
-    items = [(item_columns[c], v) for c, v in found]
-    width = len(items) + 1
-
-    per_column: dict[int, list[tuple[int, str]]] = {}
-    for i, (c, v) in enumerate(found):
-        per_column.setdefault(c, []).append((i, v))
-    codes = []
-    for c, entries in per_column.items():
-        code = None
-        for i, v in entries:
-            match = F.col(f"_v{c}") == F.lit(v)
-            code = F.when(match, F.lit(i)) if code is None else code.when(match, F.lit(i))
-        codes.append(code)
-    ids = F.array_compact(F.array(*codes)) if codes else F.array().cast("array<int>")
-    pruned = base.select("_by", "_y", "_w", ids.alias("ids"))
-
-    def counted(frame: DataFrame, sizes: Sequence[int], pairs: set[int] | None) -> DataFrame:
-        sets = F.concat(*[_subsets(F.col("ids"), k, pairs, width) for k in sizes])
+    totals = cut_lineage(totals)
+    found = F.sort_array(F.collect_list(F.struct("c", "v")))
+    books = cut_lineage(singles.groupBy("_by").agg(found.alias("_found")))
+    columns = F.array(*[F.lit(c) for c in item_columns])
+    items = F.transform(
+        "_found", lambda x: F.struct(F.concat(F.element_at(columns, x["c"] + 1), F.lit("="), x["v"]).alias("name"), x["v"].alias("value"))
+    )
+    book = books.select("_by", items.alias("_items"))
+    # for each column the ids of its frequent values
+    numbered = F.transform("_found", lambda x, i: F.struct(x["c"].alias("c"), x["v"].alias("v"), i.alias("i")))
+    codes = F.transform(
+        F.sequence(F.lit(0), F.lit(len(item_columns) - 1)),
+        lambda c: F.map_from_entries(F.transform(F.filter(numbered, lambda x: x["c"] == c), lambda x: F.struct(x["v"], x["i"]))),
+    )
+    size = F.octet_length(F.array_join("_found.v", "")) + 64 * F.size("_found")
+    coded = books.select("_by", codes.alias("_codes"), size.alias("_size"))
+    ids = F.array_compact(F.array(*[F.try_element_at(F.col("_codes")[i], F.col(f"_v{i}")) for i in range(len(item_columns))]))
+    pruned = _beside(base, coded, broadcast_bytes, salts).select("_by", "_y", "_w", ids.alias("ids"))
+
+    def counted(frame: DataFrame, sizes: Sequence[int], pairs: Column | None = None) -> DataFrame:
+        sets = F.concat(*[_subsets(F.col("ids"), k, pairs) for k in sizes])
         return (
             frame.select("_by", "_y", "_w", F.explode(sets).alias("ids"))
             .groupBy("_by", "ids")
@@ -140,19 +146,34 @@ def item_counts(
             .select("_by", "ids", "size", "n_all", "n_neg", "n_pos")
         )
 
-    m = len(per_column)
+    m = books.select(F.size(F.array_distinct("_found.c")).alias("m")).agg(F.max("m")).first()[0] or 0
     if sum(math.comb(m, k) for k in range(1, max_length + 1)) <= sets_per_row:
-        return ItemCounts(counted(pruned, range(1, max_length + 1), None), totals, items)
+        return ItemCounts(counted(pruned, range(1, max_length + 1)), totals, book)
 
     # many columns: triples and longer only where all their pairs are frequent
-    table = counted(pruned, range(1, min(max_length, 2) + 1), None)
+    pruned = cut_lineage(pruned)
+    table = counted(pruned, range(1, min(max_length, 2) + 1))
     if max_length > 2:
         table = cut_lineage(table)
-        rows = table.where("size = 2").select("ids").distinct().limit(max_pair_literals + 1).collect()
-        pairs = {r.ids[0] * width + r.ids[1] for r in rows} if len(rows) <= max_pair_literals else None
-        if rows:
-            table = table.unionByName(counted(pruned, range(3, max_length + 1), pairs))
-    return ItemCounts(table, totals, items)
+        partners = table.where("size = 2").groupBy("_by", F.col("ids")[0].alias("x")).agg(F.collect_list(F.col("ids")[1]).alias("ys"))
+        partners = cut_lineage(partners.groupBy("_by").agg(
+            F.map_from_entries(F.collect_list(F.struct("x", "ys"))).alias("_pairs"), F.sum(4 * F.size("ys") + 64).alias("_size")
+        ))
+        mates = _beside(pruned, partners, broadcast_bytes, salts)
+        table = table.unionByName(counted(mates, range(3, max_length + 1), F.col("_pairs")))
+    return ItemCounts(table, totals, book)
+
+
+def _beside(rows: DataFrame, groups: DataFrame, broadcast_bytes: int, salts: int) -> DataFrame:
+    """Each row with its group's row (_by, .., _size in bytes), which is broadcast if all are small together.
+
+    Else the join is salted, since one group may be a third of all rows.
+    """
+    if (groups.agg(F.sum("_size")).first()[0] or 0) <= broadcast_bytes:
+        return rows.join(F.broadcast(groups), "_by")
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", salt).join(spread, ["_by", "_salt"]).drop("_salt")
 
 
 def _per_class(counts: ItemCounts, min_support: float) -> DataFrame:
@@ -183,10 +204,10 @@ def frequent_itemsets(
     """Per class: items, size, n, support, and NG_Ratio over the rows of all classes."""
     counts = item_counts(df, item_columns, y, min_support, max_length, negative, positive, **options)
     side = F.when(F.col("y") == "pos", F.lit(positive)).otherwise(F.lit(negative))
-    return _per_class(counts, min_support).select(
+    return counts.named(_per_class(counts, min_support)).select(
         *_by_column(options),
         side.alias("Y"),
-        counts.text(F.col("ids")).alias("items"),
+        item_texts(F.col("ids")).alias("items"),
         "size",
         "n",
         "support",
@@ -221,17 +242,14 @@ def association_rules(
     # the small count table is read three times below: as rules, as bases and as additions
     counts = replace(counts, table=cut_lineage(counts.table))
     sets = _per_class(counts, min_support)
-    if zero_match == "exact":
-        zero = [i for i, (_, v) in enumerate(counts.items) if v == "0"]
-    elif zero_match == "substring":
-        zero = [i for i, (c, v) in enumerate(counts.items) if "=0" in f"{c}={v}"]
-    elif zero_match is None:
-        zero = []
-    else:
+    zeros = {
+        "exact": lambda item: item["value"] == "0",
+        "substring": lambda item: item["name"].contains("=0"),
+        None: lambda item: F.lit(False),
+    }
+    if zero_match not in zeros:
         raise ValueError("zero_match must be 'exact', 'substring' or None")
-    whole = sets.where("size >= 2")
-    if zero:
-        whole = whole.where(~F.exists("ids", lambda i: i.isin(zero)))
+    whole = counts.named(sets.where("size >= 2")).where(~F.exists("ids", lambda i: zeros[zero_match](F.element_at("_items", i + 1)))).drop("_items")
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.col("size")).cast("int") - 2)
     split = whole.withColumn("_mask", F.explode(masks))
 
@@ -247,22 +265,22 @@ def association_rules(
     bases = parts.withColumnsRenamed({"_part": "_base", "_support": "_base_support"})
     adds = parts.withColumnsRenamed({"_part": "_add", "_support": "_add_support"})
     confidence = F.col("support") / F.col("_base_support")
-    return (
+    found = (
         split.join(bases, ["_by", "y", "_base"])
         .join(adds, ["_by", "y", "_add"])
         .withColumn("Confidence", confidence)
         .withColumn("Lift", F.col("Confidence") / F.col("_add_support"))
         .where((F.col("Confidence") >= min_confidence) & (F.col("Lift") >= min_lift))
-        .select(
-            *_by_column(options),
-            counts.text(F.col("_base")).alias("item_base"),
-            counts.text(F.col("_add")).alias("item_add"),
-            F.col("support").alias("Support"),
-            "Confidence",
-            "Lift",
-            (F.col("n_pos") / F.col("n_all")).alias("NG_Ratio"),
-            F.when(F.col("y") == "pos", F.lit(positive)).otherwise(F.lit(negative)).alias("Y"),
-        )
+    )
+    return counts.named(found).select(
+        *_by_column(options),
+        item_texts(F.col("_base")).alias("item_base"),
+        item_texts(F.col("_add")).alias("item_add"),
+        F.col("support").alias("Support"),
+        "Confidence",
+        "Lift",
+        (F.col("n_pos") / F.col("n_all")).alias("NG_Ratio"),
+        F.when(F.col("y") == "pos", F.lit(positive)).otherwise(F.lit(negative)).alias("Y"),
     )
 
 

@@ -41,15 +41,17 @@ def _(spark, sf_dir):
     return tables.read_table(spark, folder, "csv", schema=df.schema)
 
 
-@query("read_dir", "SELECT count(*) AS n, CAST(sum(p_size) AS BIGINT) AS size FROM part GROUP BY p_partkey % 3")
+@query(
+    "read_dir",
+    "SELECT concat('third=', CAST(l_orderkey % 3 AS STRING)) AS file, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS numbers FROM lineitem GROUP BY l_orderkey % 3",
+)
 def _(spark, sf_dir):
-    """A folder of three CSV files, each counted by its name."""
+    """A folder of three CSV tables of several files, each counted by its name."""
     folder = scratch_folder(spark)
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", (F.col("p_partkey") % 3).alias("third"))
-    tables.write_table(parts.repartition("third"), folder, "csv", partition_by="third")
-    files = tables.read_dir(spark, folder, "csv")
-    # files of different folders may share a name
-    return files.groupBy("third", "file").agg(F.count("*").alias("n"), F.sum("p_size").cast("long").alias("size")).select("n", "size")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") % 3).alias("third"))
+    tables.write_table(lines, folder, "csv", partition_by="third")
+    files = tables.read_dir(spark, folder, "csv", folders=True)
+    return files.groupBy("file").agg(F.count("*").alias("n"), F.sum("l_linenumber").cast("long").alias("numbers"))
 
 
 @query("promote_header", "SELECT CAST(p_partkey AS STRING) AS p_partkey, p_name, p_brand FROM part")

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from yieldlens.operators import ordered, proportion as pt, ranks as rk, rules as ru, spc, values as va
 from yieldlens.plans.shared import (
-    ITEMS, RANKS_SQL, TRANSACTIONS_SQL, UNITS_SQL, market_ranks, r6, rounded, sql_chi2_upper_tail,
+    ITEMS, RANKS_SQL, TRANSACTIONS_SQL, UNITS_SQL, market_ranks, r6, rounded, scratch_folder, sql_chi2_upper_tail,
     sql_t5_upper_tail, sql_upper_quantile, table, transactions, units,
 )
+from yieldlens.sources import tables
 
 QUERIES, ORACLES = {}, {}
 
@@ -246,20 +247,23 @@ def _(spark, sf_dir):
 SUPPORT, CONFIDENCE, LIFT = 0.02, 0.05, 1.000001
 
 
-def _sets_sql() -> str:
-    """Item sets of up to three columns with counts per class, from one pass over the transactions."""
+def _sets_sql(source: str = TRANSACTIONS_SQL, by: str | None = None) -> str:
+    """Item sets of up to three columns with counts per class (and group), from one pass over the transactions."""
     words = ", ".join(f"concat('{c}=', coalesce(CAST({c} AS STRING), 'nan')) AS w{i}" for i, c in enumerate(ITEMS))
     names = [f"w{i}" for i in range(len(ITEMS))]
-    sets = ", ".join(f"({', '.join(combo)})" for size in (1, 2, 3) for combo in itertools.combinations(names, size))
+    keys = [by] if by else []
+    sets = ", ".join(f"({', '.join([*keys, *combo])})" for size in (1, 2, 3) for combo in itertools.combinations(names, size))
+    group = "".join(f"{k}, " for k in keys)
+    both = f"c JOIN w USING ({by})" if by else "c, w"
     return (
-        f"t AS MATERIALIZED (SELECT Y, {words} FROM {TRANSACTIONS_SQL}), "
-        f"c AS MATERIALIZED (SELECT list_sort(list_filter([{', '.join(names)}], lambda x: x IS NOT NULL)) AS items, count(*) AS n_all, "
+        f"t AS MATERIALIZED (SELECT {group}Y, {words} FROM {source}), "
+        f"c AS MATERIALIZED (SELECT {group}list_sort(list_filter([{', '.join(names)}], lambda x: x IS NOT NULL)) AS items, count(*) AS n_all, "
         "count(*) FILTER (WHERE Y = 0) AS n_0, count(*) FILTER (WHERE Y = 1) AS n_1 "
         f"FROM t GROUP BY GROUPING SETS ({sets})), "
-        "w AS MATERIALIZED (SELECT count(*) FILTER (WHERE Y = 0) AS rows_0, count(*) FILTER (WHERE Y = 1) AS rows_1 FROM t), "
+        f"w AS MATERIALIZED (SELECT {group}count(*) FILTER (WHERE Y = 0) AS rows_0, count(*) FILTER (WHERE Y = 1) AS rows_1 FROM t{' GROUP BY ' + by if by else ''}), "
         "s AS MATERIALIZED (SELECT *, CAST(len(items) AS INTEGER) AS size, array_to_string(items, ',') AS name FROM "
-        "(SELECT items, n_all, n_1, 0 AS \"Y\", n_0 AS n, n_0 / rows_0 AS support FROM c, w UNION ALL "
-        f"SELECT items, n_all, n_1, 1, n_1, n_1 / rows_1 FROM c, w) WHERE support >= {SUPPORT})"
+        f"(SELECT {group}items, n_all, n_1, 0 AS \"Y\", n_0 AS n, n_0 / rows_0 AS support FROM {both} UNION ALL "
+        f"SELECT {group}items, n_all, n_1, 1, n_1, n_1 / rows_1 FROM {both}) WHERE support >= {SUPPORT})"
     )
 
 
@@ -269,14 +273,16 @@ def _(spark, sf_dir):
     return rounded(sets.withColumn("items", F.array_join("items", ",")))
 
 
-def _rules_sql(largest_addition: int = 2) -> str:
+def _rules_sql(largest_addition: int = 2, source: str = TRANSACTIONS_SQL, by: str | None = None) -> str:
+    same = [f"{{side}}.{by} = p.{by} AND " if by else "", "{side}.\"Y\" = p.\"Y\""]
+    b, a = ("".join(same).format(side=side) for side in "ba")
     return (
-        f"{_sets_sql()}, splits AS MATERIALIZED (SELECT *, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS base, "
+        f"{_sets_sql(source, by)}, splits AS MATERIALIZED (SELECT *, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS base, "
         "list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 0) AS addition FROM (SELECT *, unnest(range(1, CAST(power(2, size) AS INT) - 1)) AS mask "
         "FROM s WHERE size > 1 AND len(list_filter(items, lambda x: ends_with(x, '=0'))) = 0)), "
         "rules AS (SELECT p.*, p.support / b.support AS confidence, p.support / b.support / a.support AS lift FROM splits p "
-        "JOIN s b ON b.\"Y\" = p.\"Y\" AND b.name = array_to_string(p.base, ',') "
-        "JOIN s a ON a.\"Y\" = p.\"Y\" AND a.name = array_to_string(p.addition, ',') "
+        f"JOIN s b ON {b} AND b.name = array_to_string(p.base, ',') "
+        f"JOIN s a ON {a} AND a.name = array_to_string(p.addition, ',') "
         f"WHERE len(addition) <= {largest_addition} AND p.support / b.support >= {CONFIDENCE} AND p.support / b.support / a.support >= {LIFT})"
     )
 
@@ -305,6 +311,23 @@ def _(spark, sf_dir):
     return rounded(ru.mine_rules(transactions(spark, sf_dir), "Y", **THRESHOLDS))
 
 
+FILES_SQL = f"(SELECT concat('batch=', CAST(l_orderkey % 3 AS STRING)) AS file, {TRANSACTIONS_SQL.removeprefix('(SELECT ')}"
+
+
+@query(
+    "mine_rules_folder",
+    f"WITH {_rules_sql(source=FILES_SQL, by='file')} SELECT file, array_to_string(base, ',') AS item_base, array_to_string(addition, ',') AS item_add, "
+    f"round_even(lift, 4) AS \"Lift\", {r6('n_1 / n_all')} AS \"NG_Ratio\", \"Y\" FROM rules",
+)
+def _(spark, sf_dir):
+    """A folder of tables, each mined for itself in the same jobs; the result names the table."""
+    folder = scratch_folder(spark)
+    df = transactions(spark, sf_dir, "l_orderkey % 3 AS batch")
+    tables.write_table(df, folder, "csv", partition_by="batch")
+    files = tables.read_dir(spark, folder, "csv", schema=df.drop("batch").schema, folders=True).drop("batch")
+    return rounded(ru.mine_rules(files, "Y", by="file", **THRESHOLDS))
+
+
 @query(
     "mine_rules_flat",
     f"WITH {_rules_sql(1)}, flat AS (SELECT DISTINCT base[1] AS \"X1\", coalesce(base[2], '') AS \"X2\", addition[1] AS \"X3\", round_even(lift, 4) AS \"Lift\", "

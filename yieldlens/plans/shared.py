@@ -100,13 +100,13 @@ TRANSACTIONS = [
 ]
 
 
-def transactions(spark, sf_dir) -> DataFrame:
+def transactions(spark, sf_dir, *more: str) -> DataFrame:
     t = {n: table(spark, sf_dir, n) for n in ("lineitem", "orders", "part")}
     return (
         t["lineitem"]
         .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
-        .selectExpr(*TRANSACTIONS)
+        .selectExpr(*TRANSACTIONS, *more)
     )
 
 

@@ -33,8 +33,13 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv", schema=None, **
     return nan_to_null(reader.format(fmt).load(path))
 
 
-def read_dir(spark: SparkSession, path: str, fmt: str = "csv", schema=None, file_column: str = "file", **options):
-    """All files of a folder in one read, with the file name as a column to group by."""
+def read_dir(
+    spark: SparkSession, path: str, fmt: str = "csv", schema=None, file_column: str = "file", folders: bool = False, **options
+) -> DataFrame:
+    """All files of a folder in one read, with the file name as a column to group by.
+
+    ``folders``: each table is a folder of files itself, as Spark writes it, and the column holds the folder's name.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}")
     reader = spark.read.options(**options)
@@ -45,7 +50,8 @@ def read_dir(spark: SparkSession, path: str, fmt: str = "csv", schema=None, file
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.format(fmt).load(path)
-    return nan_to_null(df.select("*", F.col("_metadata.file_name").alias(file_column)))
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2) if folders else F.col("_metadata.file_name")
+    return nan_to_null(df.select("*", name.alias(file_column)))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "error", partition_by: str | None = None) -> None:
