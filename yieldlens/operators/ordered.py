@@ -128,12 +128,17 @@ def running_sum(
     ordinal: str = "ordinal",
     max_group_rows: int = MAX_GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
-    """Sum of ``value`` from the first row of the keys to this row, in ``ordinal`` order."""
-    if largest_group(df, keys) <= max_group_rows:
+    """Sum of ``value`` from the first row of the keys to this row, in ``ordinal`` order.
+
+    ``longest``: rows of the longest key, where the caller has counted them on a cheaper table than ``df``.
+    """
+    if (largest_group(df, keys) if longest is None else longest) <= max_group_rows:
         spec = Window.partitionBy(*keys).orderBy(ordinal).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(name, F.sum(value).over(spec))
-    blocks = df.withColumn("_block", F.floor(F.col(ordinal) / block_rows)).withColumn("_value", value)
+    # read twice below, and often the outcome of a sort
+    blocks = cut_lineage(df.withColumn("_block", F.floor(F.col(ordinal) / block_rows)).withColumn("_value", value))
     sums = blocks.groupBy(*keys, "_block").agg(F.sum("_value").alias("_sum"))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select(*keys, "_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
@@ -163,8 +168,9 @@ def run_ids(
         first = F.lag(F.lit(1)).over(spec).isNull()
         return frame.withColumn("_change", F.when(~first & equal, 0).otherwise(1))
 
+    longest = largest_group(df, keys)
     marked = look_back_windows(df, keys, order, 1, changed, "_ordinal", max_group_rows, block_rows)
-    return running_sum(marked, keys, F.col("_change"), name, "_ordinal", max_group_rows, block_rows).drop(
+    return running_sum(marked, keys, F.col("_change"), name, "_ordinal", max_group_rows, block_rows, longest).drop(
         "_change", "_ordinal"
     )
 
