@@ -7,12 +7,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from yieldlens.operators import columns as co, ordered, ranks as rk, statistics as st, trees as tr, values as va
+from yieldlens.operators import columns as co, level_forest as lf, ordered, ranks as rk, statistics as st, trees as tr, values as va
 from yieldlens.session import cut_lineage, importable
 
 # Forest sizes and seeds, lasso grid and folds.
@@ -72,16 +70,21 @@ def _fold(df: DataFrame, order: Sequence[Column] | None, key: Sequence[str] | No
     return df.withColumn("_fold", F.pmod(F.xxhash64(*[st.quoted(c) for c in key]), F.lit(folds)).cast("int"))
 
 
-def _facts(rows: DataFrame, folds: int) -> DataFrame:
-    """i, j (i <= j) of every two ids that a row holds, with n0.. rows and s0.. sums of y by fold.
+def _facts(rows: DataFrame, folds: int, sums: Sequence[str]) -> DataFrame:
+    """i, j (i <= j) of every two ids that a row holds, with n0.. rows by fold and, where i = j, the sums s0.. of each target by fold.
 
-    ``rows``: _fold, ids (the indicators that are 1, rising), n, s. One map-side combined aggregation.
+    ``rows``: _fold, ids (the indicators that are 1, rising), n and ``sums``. Map-side combined aggregations.
     """
+
+    def by_fold(c: str) -> list[Column]:
+        return [F.sum(F.when(F.col("_fold") == f, F.col(c)).otherwise(0)).alias(f"{c}_{f}") for f in range(folds)]
+
     pairs = F.flatten(
         F.transform("ids", lambda x, i: F.transform(F.slice("ids", i + 1, F.size("ids")), lambda y: F.struct(x.alias("i"), y.alias("j"))))
     )
-    sums = [F.sum(F.when(F.col("_fold") == f, F.col(c)).otherwise(0)).alias(f"{c}{f}") for c in ("n", "s") for f in range(folds)]
-    return rows.select("_fold", "n", "s", F.explode(pairs).alias("pair")).groupBy("pair.i", "pair.j").agg(*sums)
+    counts = rows.select("_fold", "n", F.explode(pairs).alias("pair")).groupBy("pair.i", "pair.j").agg(*by_fold("n"))
+    singles = rows.select("_fold", *sums, F.explode("ids").alias("i")).groupBy("i").agg(*[c for s in sums for c in by_fold(s)])
+    return counts.join(singles.withColumn("j", F.col("i")), ["i", "j"], "left")
 
 
 def coordinate_descent(gram, cross, penalty: float, positive: bool, start, max_iterations: int = 10_000, tolerance: float = 1e-9):
@@ -239,6 +242,47 @@ def _cv_lasso(facts: DataFrame, sizes: dict, starts: Sequence[int], positive: bo
     return cut_lineage(everything.groupBy("task").applyInPandas(whole, "id int, w double"))
 
 
+def rank_features_lasso_each(
+    df: DataFrame,
+    features: Sequence[str],
+    targets: Sequence[str],
+    order: Sequence[Column] | None = None,
+    key: Sequence[str] | None = None,
+    folds: int = FOLDS,
+) -> list[DataFrame]:
+    """``rank_features_lasso`` of each target; pairs of levels are counted once for all targets, beside each target's sums."""
+    spark = df.sparkSession
+    importable(spark)
+    safe, cells = _cells(df, features)
+    levels = va.level_table(df.select(*cells), safe, drop_first=True)
+    if not levels.width:
+        return [spark.createDataFrame([], RANK_SCHEMA) for _ in targets]
+    ys = [f"_y{t}" for t in range(len(targets))]
+    moments = [
+        column for t, y in enumerate(ys) for column in (F.sum(y).alias(f"s{t}"), F.sum(F.col(y) * F.col(y)).alias(f"ss{t}"))
+    ]
+    patterns = (
+        _fold(df, order, key, folds).select("_fold", *cells, *[st.quoted(t).cast("double").alias(y) for t, y in zip(targets, ys)])
+        .groupBy("_fold", *safe).agg(F.count(F.lit(1)).alias("n"), *moments)
+    )
+    sums = [f"s{t}" for t in range(len(targets))]
+    rows = cut_lineage(va.encode_levels(patterns, safe, levels).select("_fold", "ids", "n", *sums, *[f"s{s}" for s in sums]))
+    found = sorted(rows.groupBy("_fold").agg(*[F.sum(c).alias(c) for c in rows.columns if c not in ("_fold", "ids")]).collect())
+    facts = cut_lineage(_facts(rows.fillna(0.0, sums), folds, sums))
+    ranks = []
+    for s in sums:
+        sizes = {r["_fold"]: (r["n"], r[s] or 0.0, r[f"s{s}"] or 0.0) for r in found}
+        own = facts.select(
+            "i", "j", *[F.col(f"n_{f}").alias(f"n{f}") for f in range(folds)],
+            *[F.coalesce(f"{s}_{f}", F.lit(0.0)).alias(f"s{f}") for f in range(folds)],
+        )
+        weights = _cv_lasso(own, sizes, levels.starts, positive=True, intercept=False)
+        if weights.isEmpty():
+            weights = _cv_lasso(own, sizes, levels.starts, positive=False, intercept=True)
+        ranks.append(_ranked("Lasso", weights, levels, features))
+    return ranks
+
+
 def rank_features_lasso(
     df: DataFrame,
     features: Sequence[str],
@@ -254,69 +298,100 @@ def rank_features_lasso(
     unconstrained with an intercept. Equal rows collapse, the rows are read once, and all folds and penalties work
     on the counts of the pairs of levels that occur. A task holds those pairs, 24 bytes each.
     """
-    spark = df.sparkSession
-    importable(spark)
-    safe = [f"_c{i}" for i in range(len(features))]
-    cells = [st.quoted(c).alias(s) for c, s in zip(features, safe)]
-    levels = va.level_table(df.select(*cells), safe, drop_first=True)
-    if not levels.width:
-        return spark.createDataFrame([], RANK_SCHEMA)
-    y = F.col("_y")
-    patterns = (
-        _fold(df, order, key, folds).select("_fold", *cells, st.quoted(target).cast("double").alias("_y"))
-        .groupBy("_fold", *safe).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("ss"))
-    )
-    rows = cut_lineage(va.encode_levels(patterns, safe, levels).select("_fold", "ids", "n", "s", "ss"))
-    found = rows.groupBy("_fold").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")]).collect()
-    sizes = {r["_fold"]: (r["n"], r["s"] or 0.0, r["ss"] or 0.0) for r in sorted(found)}
-    facts = cut_lineage(_facts(rows.fillna(0.0, ["s"]), folds))
-    weights = _cv_lasso(facts, sizes, levels.starts, positive=True, intercept=False)
-    if weights.isEmpty():
-        weights = _cv_lasso(facts, sizes, levels.starts, positive=False, intercept=True)
-    names = F.create_map(*[F.lit(x) for pair in zip(safe, features) for x in pair])
+    return rank_features_lasso_each(df, features, [target], order, key, folds)[0]
+
+
+def _cells(df: DataFrame, features: Sequence[str]) -> tuple[list[str], list[Column]]:
+    safe = [f"_c{i}" for i in range(len(features))]  # feature names may hold dots
+    return safe, [st.quoted(c).alias(s) for c, s in zip(features, safe)]
+
+
+def _ranked(method: str, found: DataFrame, levels: va.Levels, features: Sequence[str]) -> DataFrame:
+    """Method, OPID_TOOLID, IndexValue of ``found`` (id, w): rounded to 4 digits, zeros out, falling by size."""
+    names = F.create_map(*[F.lit(x) for i, c in enumerate(features) for x in (f"_c{i}", c)])
     label = F.concat(names[F.col("column_name")], F.lit("_"), F.col("value"))
-    ranks = weights.join(levels.table, "id").select(
-        F.lit("Lasso").alias(rk.METHOD), label.alias(rk.LABEL), F.bround("w", 4).alias(rk.VALUE)
-    )
+    ranks = found.join(levels.table, "id").select(F.lit(method).alias(rk.METHOD), label.alias(rk.LABEL), F.bround("w", 4).alias(rk.VALUE))
     return rk.sort_ranks(ranks.where(F.col(rk.VALUE) != 0), rk.VALUE, rk.LABEL, absolute=True)
 
 
-def _rank_table(spark, method: str, names: Sequence[str], values) -> DataFrame:
-    """Rounded to 4 digits, zeros out, falling by size."""
-    rows = [(method, c, round(float(v), 4)) for c, v in zip(names, values)]
-    table = spark.createDataFrame([r for r in rows if r[2] != 0], RANK_SCHEMA)
-    return rk.sort_ranks(table, rk.VALUE, rk.LABEL, absolute=True)
+# Fixed value: more classes than this are no classes.
+MAX_CLASSES = 100
+
 
+def _class_numbers(df: DataFrame, target: str) -> tuple[Column, int]:
+    """0 for the smallest label, and so on; null stays null. And the number of labels."""
+    label = st.quoted(target).cast("double")
+    rows = df.where(label.isNotNull()).select(label.alias("y")).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"target {target} has more than {MAX_CLASSES} classes")
+    found = sorted(r["y"] for r in rows)
+    place = F.array_position(F.array(*[F.lit(v) for v in found]).cast("array<double>"), label) - 1
+    return F.when(label.isNotNull(), place).cast("double"), len(found)
 
-def rank_features_forest(
+
+def rank_features_forest_each(
     df: DataFrame,
     features: Sequence[str],
-    target: str,
+    targets: Sequence[str],
     task: str = "classification",
     trees: int = SELECT_TREES,
     max_depth: int = 10,
     seed: int = SELECT_SEED,
-    max_levels: int = 1000,
-) -> DataFrame:
-    """Method, OPID_TOOLID, IndexValue: forest importances of the indicator columns."""
-    dummies = va.one_hot(df.select(*[st.quoted(c) for c in features], st.quoted(target)), features, drop_first=True, max_levels=max_levels)
-    names = [c for c in dummies.columns if c != target]
-    if not names:
-        return df.sparkSession.createDataFrame([], RANK_SCHEMA)
-    vectors = st.spread(assemble(dummies, names).select("features", st.quoted(target).cast("double").alias("label")))
-    kinds = {"classification": RandomForestClassifier, "regression": RandomForestRegressor}
-    if task not in kinds:
+) -> list[DataFrame]:
+    """``rank_features_forest`` of each target; the trees of all targets share every pass over the rows."""
+    if task not in ("classification", "regression"):
         raise ValueError("task must be 'classification' or 'regression'")
-    strategy = "sqrt" if task == "classification" else "all"
-    model = kinds[task](numTrees=trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy=strategy).fit(vectors)
-    vectors.unpersist()
-    return _rank_table(df.sparkSession, "RF", names, model.featureImportances.toArray())
+    spark = df.sparkSession
+    empty = spark.createDataFrame([], RANK_SCHEMA)
+    safe, cells = _cells(df, features)
+    levels = va.level_table(df.select(*cells), safe, drop_first=True)
+    if not levels.width:
+        return [empty for _ in targets]
+    if task == "classification":
+        numbers = [_class_numbers(df, t) for t in targets]
+        classes, ys = [k for _, k in numbers], [c for c, _ in numbers]
+    else:
+        names = list(targets)
+        scale = st.summarise(df, names, mean=lambda c: F.avg(c.cast("double")), std=lambda c: F.stddev_pop(c.cast("double")))
+        classes = [0] * len(names)
+        ys = [(st.quoted(t).cast("double") - F.lit(scale["mean"][t])) / F.lit(scale["std"][t] or 1.0) for t in names]
+    y = F.array(*[F.coalesce(c, F.lit(float("nan"))) for c in ys])
+    rows = st.collapse(df.select(*cells, y.alias("y")))
+    coded = va.encode_levels(rows, safe, levels).select("ids", F.col("_w").alias("n"), F.xxhash64("ids", "y").alias("draw"), "y")
+    cores = spark.sparkContext.defaultParallelism
+    found = lf.importances(lf.grow(cut_lineage(coded.repartition(cores, "draw")), levels.starts, classes, trees, max_depth, seed))
+    if found.empty:
+        return [empty for _ in targets]
+    weights = spark.createDataFrame(found, "target int, id int, w double")
+    return [_ranked("RF", weights.where(F.col("target") == i).select("id", "w"), levels, features) for i in range(len(targets))]
+
+
+def rank_features_forest(df: DataFrame, features: Sequence[str], target: str, task: str = "classification", **forest) -> DataFrame:
+    """Method, OPID_TOOLID, IndexValue: forest importances of the indicator columns.
+
+    Every distinct value of every feature is an indicator, the first sorted level left out; there may be any
+    number. ``forest``: trees, max_depth, seed. A node of a classification tree looks at about the square root of all
+    indicators, of a regression tree at all. Rows with a null target are left out; null features have no level.
+    """
+    return rank_features_forest_each(df, features, [target], task, **forest)[0]
 
 
 # Fixed value: how the names of targets begin.
 TARGET_PREFIX = "Ylabel_"
 
 
+def _factor_lists(df: DataFrame, targets: Sequence[str], task: str, order, key, forest: dict) -> list[tuple[DataFrame, DataFrame]]:
+    features = [c for c in df.columns if c not in targets and c not in (key or []) and not c.startswith(TARGET_PREFIX)]
+    spark = df.sparkSession
+    if len(features) == 1 and features[0] in co.constant_columns(df, features, nulls="value"):
+        none = spark.createDataFrame([], f"{rk.METHOD} string, {rk.LABEL} string, Inter_count long, weight_IndexValue double")
+        return [(spark.createDataFrame([], RANK_SCHEMA), none) for _ in targets]
+    lassos = rank_features_lasso_each(df, features, targets, order, key)
+    forests = rank_features_forest_each(df, features, targets, task, **forest)
+    ranks = [a.unionByName(b) for a, b in zip(lassos, forests)]
+    return [(r, rk.combine_methods(r)) for r in ranks]
+
+
 def select_factors(
     df: DataFrame,
     target: str,
@@ -329,25 +404,26 @@ def select_factors(
 
     ``key`` names the row key; it is not a factor, and neither are other targets (``Ylabel_`` columns).
     """
-    features = [c for c in df.columns if c != target and c not in (key or []) and not c.startswith(TARGET_PREFIX)]
-    spark = df.sparkSession
-    if len(features) == 1 and features[0] in co.constant_columns(df, features, nulls="value"):
-        return (
-            spark.createDataFrame([], RANK_SCHEMA),
-            spark.createDataFrame([], f"{rk.METHOD} string, {rk.LABEL} string, Inter_count long, weight_IndexValue double"),
-        )
-    lasso = rank_features_lasso(df, features, target, order, key)
-    ranks = lasso.unionByName(rank_features_forest(df, features, target, task, **forest))
-    return ranks, rk.combine_methods(ranks)
+    return _factor_lists(df, [target], task, order, key, forest)[0]
 
 
-def select_factors_each(df: DataFrame, targets: Sequence[str] | None = None, **options) -> tuple[DataFrame, DataFrame]:
-    """``select_factors`` for each target (default: all ``Ylabel_`` columns), with the target's name in column ``target``."""
+def select_factors_each(
+    df: DataFrame,
+    targets: Sequence[str] | None = None,
+    task: str = "classification",
+    order: Sequence[Column] | None = None,
+    key: Sequence[str] | None = None,
+    **forest,
+) -> tuple[DataFrame, DataFrame]:
+    """``select_factors`` for each target (default: all ``Ylabel_`` columns), with the target's name in column ``target``.
+
+    Levels are numbered, their pairs counted and the rows passed over by trees once for all targets.
+    """
     targets = list(targets if targets is not None else [c for c in df.columns if c.startswith(TARGET_PREFIX)])
     if not targets:
         raise ValueError("there is no target")
-    ranks, factors = None, None
-    for t in targets:
-        found = [part.withColumn("target", F.lit(t)) for part in select_factors(df.drop(*[o for o in targets if o != t]), t, **options)]
-        ranks, factors = found if ranks is None else (ranks.unionByName(found[0]), factors.unionByName(found[1]))
-    return ranks, factors
+    named = [
+        [part.withColumn("target", F.lit(t)) for part in parts]
+        for t, parts in zip(targets, _factor_lists(df, targets, task, order, key, forest))
+    ]
+    return tuple(functools.reduce(DataFrame.unionByName, parts) for parts in zip(*named))
