@@ -37,11 +37,11 @@ def brute(rows, min_support, max_length=3):
     return found
 
 
-@pytest.mark.parametrize("options", [{}, {"sets_per_row": 1}, {"sets_per_row": 1, "broadcast_bytes": 0, "salts": 3}])
+@pytest.mark.parametrize("options", [{}, {"sets_per_row": 1}, {"sets_per_row": 1, "max_length": 4}, {"sets_per_row": 1, "broadcast_bytes": 0, "salts": 3}])
 def test_itemsets_against_brute_force(spark, options):
     df = table(spark)
     found = {(r.Y, tuple(r["items"])): (r.n, r.support, r.NG_Ratio) for r in ru.frequent_itemsets(df, ITEMS, "Y", 0.3, **options).collect()}
-    assert found == brute(df.collect(), 0.3)
+    assert found == brute(df.collect(), 0.3, options.get("max_length", 3))
 
 
 def test_itemsets_against_fpgrowth(spark):

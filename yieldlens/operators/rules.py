@@ -14,7 +14,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from yieldlens.operators import columns as co, ordered, statistics as st, values as va
+from yieldlens.operators import bitmaps as bm, columns as co, ordered, statistics as st, values as va
 from yieldlens.session import cut_lineage
 
 # Default thresholds and the class labels.
@@ -65,16 +65,13 @@ def _frequent(min_support: float) -> Column:
     )
 
 
-def _subsets(ids: Column, size: int, pairs: Column | None) -> Column:
-    """Arrays of ``size`` ids in row order; where ``pairs`` maps an id to its partners, only of ids that are pairwise partners."""
+def _subsets(ids: Column, size: int) -> Column:
+    """Arrays of ``size`` ids in row order."""
     if size == 1:
         return F.transform(ids, lambda x: F.array(x))
 
     def extend(x: Column, i: Column) -> Column:
-        rest = F.slice(ids, i + 2, F.size(ids))
-        if pairs is not None:
-            rest = F.array_intersect(rest, F.coalesce(F.try_element_at(pairs, x), F.array().cast("array<int>")))
-        return F.transform(_subsets(rest, size - 1, pairs), lambda s: F.concat(F.array(x), s))
+        return F.transform(_subsets(F.slice(ids, i + 2, F.size(ids)), size - 1), lambda s: F.concat(F.array(x), s))
 
     return F.flatten(F.transform(ids, extend))
 
@@ -94,8 +91,9 @@ def item_counts(
 ) -> ItemCounts:
     """Counts of every item set of up to ``max_length`` items that is frequent in some class (and group).
 
-    A group's frequent items, at most 2 / min_support a column, and later its frequent pairs are one row of a table that
+    A group's frequent items, at most 2 / min_support a column, are one row of a table that
     joins the group's rows: broadcast where all groups' rows are counted to be at most ``broadcast_bytes``, else with salts.
+    Where a row's sets are more than ``sets_per_row`` they aren't written but counted on bitmaps of blocks of rows (``bitmaps``).
     """
     label = st.quoted(y).cast("string")
     # collapse on the raw cells, then write them as text
@@ -134,8 +132,8 @@ def item_counts(
     ids = F.array_compact(F.array(*[F.try_element_at(F.col("_codes")[i], F.col(f"_v{i}")) for i in range(len(item_columns))]))
     pruned = _beside(base, coded, broadcast_bytes, salts).select("_by", "_y", "_w", ids.alias("ids"))
 
-    def counted(frame: DataFrame, sizes: Sequence[int], pairs: Column | None = None) -> DataFrame:
-        sets = F.concat(*[_subsets(F.col("ids"), k, pairs) for k in sizes])
+    def counted(frame: DataFrame, sizes: Sequence[int]) -> DataFrame:
+        sets = F.concat(*[_subsets(F.col("ids"), k) for k in sizes])
         return (
             frame.select("_by", "_y", "_w", F.explode(sets).alias("ids"))
             .groupBy("_by", "ids")
@@ -150,17 +148,24 @@ def item_counts(
     if sum(math.comb(m, k) for k in range(1, max_length + 1)) <= sets_per_row:
         return ItemCounts(counted(pruned, range(1, max_length + 1)), totals, book)
 
-    # many columns: triples and longer only where all their pairs are frequent
+    # many columns: bitmaps; triples and longer only where all their parts are frequent
+    def kept(counts: DataFrame, size: int) -> DataFrame:
+        named = counts.select("_by", "ids", F.lit(size).alias("size"), *_named("n"))
+        return named.join(totals, "_by").where(_frequent(min_support)).select("_by", "ids", "size", "n_all", "n_neg", "n_pos")
+
     pruned = cut_lineage(pruned)
-    table = counted(pruned, range(1, min(max_length, 2) + 1))
-    if max_length > 2:
-        table = cut_lineage(table)
-        partners = table.where("size = 2").groupBy("_by", F.col("ids")[0].alias("x")).agg(F.collect_list(F.col("ids")[1]).alias("ys"))
-        partners = cut_lineage(partners.groupBy("_by").agg(
-            F.map_from_entries(F.collect_list(F.struct("x", "ys"))).alias("_pairs"), F.sum(4 * F.size("ys") + 64).alias("_size")
-        ))
-        mates = _beside(pruned, partners, broadcast_bytes, salts)
-        table = table.unionByName(counted(mates, range(3, max_length + 1), F.col("_pairs")))
+    table = counted(pruned, [1])
+    stored = bm.blocks(pruned) if max_length > 1 else None
+    for size in range(2, max_length + 1):
+        if size == 2:
+            found = bm.count_pairs(stored)
+        else:
+            wanted = cut_lineage(bm.chunks(bm.candidates(last.select("_by", "ids"), size)))
+            if wanted.isEmpty():
+                break
+            found = bm.count_sets(_beside(stored, wanted, broadcast_bytes, salts), size)
+        last = cut_lineage(kept(found, size))
+        table = table.unionByName(last)
     return ItemCounts(table, totals, book)
 
 

@@ -273,6 +273,40 @@ def _(spark, sf_dir):
     return rounded(sets.withColumn("items", F.array_join("items", ",")))
 
 
+WIDE = [f"x{i:02}" for i in range(64)]
+WIDE_SUPPORT = 0.4
+
+
+def _wide_sql() -> str:
+    """Sets of up to three of 64 columns by joining every row's items with themselves."""
+    sizes = {
+        1: "SELECT vec_id, y, [w] AS s FROM long",
+        2: "SELECT a.vec_id, a.y, [a.w, b.w] AS s FROM long a JOIN long b ON a.vec_id = b.vec_id AND a.w < b.w",
+        3: "SELECT a.vec_id, a.y, [a.w, b.w, c.w] AS s FROM long a JOIN long b ON a.vec_id = b.vec_id AND a.w < b.w JOIN long c ON a.vec_id = c.vec_id AND b.w < c.w",
+    }
+    sets = " UNION ALL ".join(
+        f"SELECT array_to_string(s, ',') AS items, {size} AS size, count(*) AS n_all, count(*) FILTER (WHERE y = 0) AS n_0, "
+        f"count(*) FILTER (WHERE y = 1) AS n_1 FROM ({source}) GROUP BY s" for size, source in sizes.items()
+    )
+    sides = " UNION ALL ".join(
+        f"SELECT {y} AS \"Y\", items, CAST(size AS INTEGER) AS size, n_{y} AS n, {r6(f'n_{y} / rows_{y}')} AS support, {r6('n_1 / n_all')} AS \"NG_Ratio\" "
+        f"FROM sets, (SELECT count(*) AS rows_{y} FROM embeddings WHERE label % 2 = {y}) WHERE n_{y} / rows_{y} >= {WIDE_SUPPORT}" for y in (0, 1)
+    )
+    return (
+        "WITH long AS MATERIALIZED (SELECT vec_id, label % 2 AS y, concat('x', lpad(CAST(i AS STRING), 2, '0'), '=', CASE WHEN embedding[i + 1] > -0.05 THEN '1' ELSE '0' END) AS w "
+        f"FROM embeddings, range(64) r(i)), sets AS MATERIALIZED ({sets}) {sides}"
+    )
+
+
+@query("frequent_itemsets_wide", _wide_sql())
+def _(spark, sf_dir):
+    """Many columns: counted on bitmaps of blocks of rows."""
+    cells = [(F.col("embedding")[i] > -0.05).cast("int").alias(c) for i, c in enumerate(WIDE)]
+    rows = table(spark, sf_dir, "embeddings").select((F.col("label") % 2).alias("Y"), *cells)
+    sets = ru.frequent_itemsets(rows, WIDE, "Y", min_support=WIDE_SUPPORT)
+    return rounded(sets.withColumn("items", F.array_join("items", ",")))
+
+
 def _rules_sql(largest_addition: int = 2, source: str = TRANSACTIONS_SQL, by: str | None = None) -> str:
     same = [f"{{side}}.{by} = p.{by} AND " if by else "", "{side}.\"Y\" = p.\"Y\""]
     b, a = ("".join(same).format(side=side) for side in "ba")
