@@ -32,10 +32,11 @@ def group_mean(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def pivot_mean(df: DataFrame, key: str, pivot: str, value: str, names: Sequence, max_columns: int = 10_000) -> DataFrame:
     """One column per pivot value holding the mean; absent combinations are null.
 
-    The pivot values are passed in, so no extra job lists them.
+    The pivot values are passed in, so no extra job lists them. A table can't have more than some thousand
+    columns; ``group_mean`` with both keys gives the same means as rows, for any number of pivot values.
     """
     if len(names) > max_columns:
-        raise ValueError(f"{len(names)} pivot columns; at most {max_columns} are allowed")
+        raise ValueError(f"{len(names)} pivot columns; at most {max_columns} are allowed, group_mean gives them as rows")
     return df.groupBy(st.quoted(key).alias(key)).pivot(pivot, list(names)).agg(F.avg(st.quoted(value)))
 
 

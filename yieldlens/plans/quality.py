@@ -194,6 +194,16 @@ def _(spark, sf_dir):
     return rounded(spc.xmr_limits(table(spark, sf_dir, "events"), ["event_type"], _time_order(), "value"))
 
 
+@query(
+    "xmr_limits_from_mean",
+    f"SELECT event_type, {r6('avg(moving_range)')} AS mr_bar, {r6(f'avg(moving_range) / {spc.D2}')} AS sigma, "
+    f"{r6(f'avg(value) + 3 * avg(moving_range) / {spc.D2}')} AS ucl, {r6('avg(value)')} AS cl FROM {_rolling_sql('event_type')} GROUP BY event_type",
+)
+def _(spark, sf_dir):
+    """The upper limit lies above the mean of the values."""
+    return rounded(spc.xmr_limits(table(spark, sf_dir, "events"), ["event_type"], _time_order(), "value", center="mean"))
+
+
 SPC_LIMIT = spc.q_limits()["UCL"]
 
 
@@ -307,13 +317,13 @@ def _(spark, sf_dir):
     return rounded(sets.withColumn("items", F.array_join("items", ",")))
 
 
-def _rules_sql(largest_addition: int = 2, source: str = TRANSACTIONS_SQL, by: str | None = None) -> str:
+def _rules_sql(largest_addition: int = 2, source: str = TRANSACTIONS_SQL, by: str | None = None, zero: str = "ends_with(x, '=0')") -> str:
     same = [f"{{side}}.{by} = p.{by} AND " if by else "", "{side}.\"Y\" = p.\"Y\""]
     b, a = ("".join(same).format(side=side) for side in "ba")
     return (
         f"{_sets_sql(source, by)}, splits AS MATERIALIZED (SELECT *, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS base, "
         "list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 0) AS addition FROM (SELECT *, unnest(range(1, CAST(power(2, size) AS INT) - 1)) AS mask "
-        "FROM s WHERE size > 1 AND len(list_filter(items, lambda x: ends_with(x, '=0'))) = 0)), "
+        f"FROM s WHERE size > 1 AND len(list_filter(items, lambda x: {zero})) = 0)), "
         "rules AS (SELECT p.*, p.support / b.support AS confidence, p.support / b.support / a.support AS lift FROM splits p "
         f"JOIN s b ON {b} AND b.name = array_to_string(p.base, ',') "
         f"JOIN s a ON {a} AND a.name = array_to_string(p.addition, ',') "
@@ -345,6 +355,25 @@ def _(spark, sf_dir):
     return rounded(ru.mine_rules(transactions(spark, sf_dir), "Y", **THRESHOLDS))
 
 
+PADDED = "CASE WHEN station = 2 THEN '02' ELSE CAST(station AS STRING) END"
+PADDED_SQL = f"(SELECT * REPLACE ({PADDED} AS station) FROM {TRANSACTIONS_SQL})"
+SUBSTRING = "contains(x, '=0')"
+
+
+@query(
+    "association_rules_substring",
+    f"WITH {_rules_sql(source=PADDED_SQL, zero=SUBSTRING)} "
+    "SELECT array_to_string(base, ',') AS item_base, array_to_string(addition, ',') AS item_add, "
+    f"{r6('confidence')} AS \"Confidence\", {r6('lift')} AS \"Lift\", \"Y\" FROM rules",
+)
+def _(spark, sf_dir):
+    """Values that begin with 0 count as operations not passed."""
+    rows = transactions(spark, sf_dir).withColumn("station", F.expr(PADDED))
+    found = ru.association_rules(rows, ITEMS, "Y", zero_match="substring", **THRESHOLDS)
+    named = found.withColumn("item_base", va.items_to_string(F.col("item_base"))).withColumn("item_add", va.items_to_string(F.col("item_add")))
+    return rounded(named.select("item_base", "item_add", "Confidence", "Lift", "Y"))
+
+
 FILES_SQL = f"(SELECT concat('batch=', CAST(l_orderkey % 3 AS STRING)) AS file, {TRANSACTIONS_SQL.removeprefix('(SELECT ')}"
 
 
