@@ -194,6 +194,30 @@ def test_neighbours_against_brute_force(spark, options):
         assert own[i] == pytest.approx(y[np.lexsort((np.arange(240), gaps))[:3]].mean())
 
 
+def test_neighbours_of_a_crowded_cell_in_several_stripes(spark, monkeypatch):
+    """No stripe holds over 16 rows, though a third of the rows lie in one place; answers stay those of brute force."""
+    monkeypatch.setattr(knn, "STRIPE_CELLS", 64)
+    draw = np.random.default_rng(5)
+    x = np.concatenate([np.tile(draw.normal(size=4), (80, 1)), draw.normal(size=(160, 4))]).round(2)
+    y = draw.random(240)
+    t = spark.createDataFrame([(i, [float(v) for v in r], float(v)) for i, (r, v) in enumerate(zip(x, y))], "id long, features array<double>, y double").repartition(5)
+    found = {r.id: r.prediction for r in knn.knn_regress(t, t, 5, leave_out=True, broadcast_cells=1, block_rows=7, pivots=9).collect()}
+    for i in range(240):
+        gaps = ((x - x[i]) ** 2).sum(axis=1)
+        gaps[i] = np.inf
+        assert found[i] == pytest.approx(y[np.lexsort((np.arange(240), gaps))[:5]].mean())
+
+
+def test_stripes_are_bounded_and_hold_every_cell():
+    draw = np.random.default_rng(6)
+    size = draw.integers(1, 90, 40)
+    first, parts, stripes = knn._stripes(np.arange(40), size, draw.normal(size=(40, 3)), 30)
+    held = np.zeros(stripes)
+    for f, p, n in zip(first, parts, size):
+        held[f : f + p] += n / p
+    assert held.max() <= 30 and held.min() > 0 and stripes <= 2 * size.sum() / 30 + 1
+
+
 def test_generated_model_is_saved_and_used(spark, tmp_path):
     df = measures(spark, 300).select("a", "b", (1 + 2 * F.col("a")).alias("y1"), (5 - F.col("b")).alias("y2"))
     made = tu.generate_model(
