@@ -168,3 +168,17 @@ def test_collapse(spark):
     few, many = spark.range(1000).select((F.col("id") % 3).alias("k")), spark.range(1000).select(F.col("id").alias("k"))
     assert sorted(r["_w"] for r in st.collapse(few).collect()) == [333, 333, 334]
     assert st.collapse(many).agg(F.count("*"), F.sum("_w")).first()[:] == (1000, 1000)
+
+
+def test_sparse_one_hot_query_reads_the_stored_values_only(spark, tmp_path, monkeypatch):
+    """As an array each vector would be as long as there are suppliers."""
+    import __spark_entry__ as registered
+
+    def widened(*_):
+        raise AssertionError("a sparse vector was made an array")
+
+    monkeypatch.setattr("pyspark.ml.functions.vector_to_array", widened)
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 1000 < 999 THEN id % 1000 END AS l_suppkey")
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = {r.l_suppkey: (r.n, r.misses) for r in registered.queries()["sparse_one_hot"](spark, str(tmp_path)).collect()}
+    assert found == {**{i: (3, 0) for i in range(999)}, None: (3, 3)}
