@@ -65,3 +65,11 @@ def test_long_document(spark):
     found = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in remove_repeats(documents(spark, rows)).collect()}
     assert found[1][:2] == (120_000, 0)
     assert found[2] == (120_001, 120_000, "tail")
+
+
+def test_windows_are_done_before_texts_are_shuffled(spark):
+    rows = [(1, "a b c d e"), (2, "x a b c d")]
+    found = remove_repeats(documents(spark, rows), window=3)
+    # what is left reads the stored intervals: the windows' shuffle files need not lie beside those of the texts
+    assert "GroupsInArrow" not in found._jdf.queryExecution().toString()
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute(rows, 3)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from yieldlens.llm.common import Words, importable, in_arrow, mix64, partitions, pieces, text_buffer
+from yieldlens.llm.common import Words, importable, in_arrow, mix64, partitions, pieces, release, stored, text_buffer
 
 WINDOW = 20
 #: Rows of documents for each bucket of window hashes, about.
@@ -296,14 +296,16 @@ def remove_repeats(
     are one document for the order and are cut each by its own text; a null id is the
     smallest. With ``spaces``, columns named ``n_words, n_removed, kept`` are replaced. An empty table gives no rows.
     """
-    marks = repeated_windows(docs, id_column, text, window).withColumnsRenamed({"starts": "starts_", "ends": "ends_"})
+    # the windows' shuffle files go before the texts are shuffled
+    marks = stored(repeated_windows(docs, id_column, text, window)).withColumnsRenamed({"starts": "starts_", "ends": "ends_"})
+    release(docs.sparkSession)
     others = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")] if spaces else [id_column]
     named = docs.select(
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text_"),
         F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(-(2**63))).alias("id_"),
         *[F.col(f"`{c}`").alias(f"c{i}_") for i, c in enumerate(others)],
     ).withColumn("tag_", F.crc32("text_"))
-    joined = named.join(marks, ["id_", "tag_"], "left").select(
+    joined = named.join(marks.hint("merge"), ["id_", "tag_"], "left").select(
         "text_", *[F.coalesce(c, F.array().cast("array<int>")).alias(c) for c in ("starts_", "ends_")],
         *[f"c{i}_" for i in range(len(others))],
     )
