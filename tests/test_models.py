@@ -267,3 +267,38 @@ def test_intervals(spark):
     found = {r.feature: r for r in rc.ranges(df, ["a", "b"], [[4.5, 0.0], [100.0, 5.0]]).collect()}
     assert found["a"].Lower_bound == 4.5 and found["a"].Upper_bound == pytest.approx(5 + 1.959964 * np.std([4, 5, 6]))
     assert (found["b"].Lower_bound, found["b"].Upper_bound) == (2.0, 2.0) and found["a"].best_cost == pytest.approx(0.1)
+
+
+class Columnwise:
+    """A model that isn't known to be lines."""
+
+    def __init__(self, model):
+        self.transform = model.transform
+
+
+def test_rounds_on_arrays_give_the_rows_of_rounds_on_columns(spark, monkeypatch):
+    """Repeated, null and negative ids, goals that are null, zero, not a number or out of reach."""
+    df, scaler, _ = line_model(spark)
+    df = df.withColumn("z", F.col("a") - F.col("b"))
+    model = tu.fit("Lasso Regression", {"alpha": 0.01}, im.assemble(df, ["a", "b"], scaler=scaler), ["y", "z"])
+    nan = float("nan")
+    rows = [(1, 20.0, 1.0), (1, 9.0, 2.0), (-7, 11.0, 0.5), (None, 14.0, 3.0), (2**40, 25.0, -1.0), (5, None, 1.0), (6, -rc.EPSILON, 1.0), (7, nan, 1.0), (7, None, 1.0), (8, 0.0, 1e9)]
+    goals = spark.createDataFrame(rows, "target_id long, y double, z double")
+    for controls, seed, scale in ((["a"], rc.SEED, scaler), (["a", "b"], 2**35, scaler), ([], -3, None)):
+        args = (scale, ["a", "b"], controls, [[0.0, 1.0], [10.0, 5.0]], goals, ["z", "y"], df)
+        for effort in ({"restarts": 3, "candidates": 30, "rounds": 4}, {"restarts": 1, "candidates": 1, "rounds": 1}):
+            old = rc.search(Columnwise(model), *args, seed=seed, **effort)
+            with monkeypatch.context() as m:
+                m.setattr(rc, "AT_ONCE", 64)
+                new = rc.search(model, *args, seed=seed, **effort)
+                assert new.columns == old.columns and sorted(map(str, new.collect())) == sorted(map(str, old.collect()))
+
+
+def test_line_models_write_no_candidates(spark, monkeypatch):
+    """Each candidate was a row, sorted and shuffled by target, in every round."""
+    df, scaler, model = line_model(spark)
+    goals = spark.createDataFrame([(1, 20.0)], "target_id long, y double")
+    made = []
+    monkeypatch.setattr(rc, "cut_lineage", lambda d: made.append(d) or d)
+    found = rc.search(model, scaler, ["a", "b"], ["a"], [[0.0, 1.0], [10.0, 5.0]], goals, ["y"], df, rounds=6)
+    assert len(made) == 1 and found.count() == rc.RESTARTS
